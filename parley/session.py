@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column call doubles the time to build large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

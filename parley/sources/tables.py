@@ -12,25 +12,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete versions below ``root``."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+def _numbers(spark: SparkSession, pattern: str) -> list[int]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    folders = [f.getPath() for f in found]
+    folders = [f.getParent() if f.getName() == "_SUCCESS" else f for f in folders]
+    return sorted(int(f.getName().split("=")[1]) for f in folders)
 
 
-def _used_versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return [int(f.getPath().getName().split("=")[1]) for f in found]
+def versions(spark: SparkSession, root: str, name: str = "version") -> list[int]:
+    """Numbers of the complete folders ``<root>/<name>=N``."""
+    return _numbers(spark, f"{root}/{name}=*/_SUCCESS")
+
+
+def next_version(spark: SparkSession, root: str, name: str = "version") -> int:
+    """A number no folder uses yet, complete or not."""
+    used = _numbers(spark, f"{root}/{name}=*")
+    return used[-1] + 1 if used else 0
 
 
 def write_version(df: DataFrame, root: str) -> int:
     """Replace the table: write ``df`` as the next version. Any schema is accepted."""
-    used = _used_versions(df.sparkSession, root)
-    version = max(used) + 1 if used else 0
+    version = next_version(df.sparkSession, root)
     df.write.parquet(f"{root}/version={version}")
     return version
 
