@@ -12,6 +12,7 @@ from parley.operators import dialogs as d
 from parley.operators import utterances as u
 from parley.operators.ordered import minute_slice, position
 from parley.sources.bot_events import bot_events_sql, derived_bot_events
+from parley.staging import stage
 
 
 def bot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,11 @@ def scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.in_scope(bot_events(spark, sf_dir))
 
 
+def scoped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, for jobs that read the events several times."""
+    return stage(scoped(spark, sf_dir), "bot-events")
+
+
 # --- Spark side -----------------------------------------------------------
 
 
@@ -53,26 +59,26 @@ def conversation_id_coalesce(spark, sf_dir):
 
 
 def semi_user_instances(spark, sf_dir):
-    return d.user_instances(scoped(spark, sf_dir))
+    return d.user_instances(scoped_table(spark, sf_dir))
 
 
 def dialog_segments(spark, sf_dir):
-    return d.segment_dialogs(scoped(spark, sf_dir))
+    return d.segment_dialogs(scoped_table(spark, sf_dir))
 
 
 def incremental_new_dialogs(spark, sf_dir):
-    events = scoped(spark, sf_dir)
+    events = scoped_table(spark, sf_dir)
     found = d.segment_dialogs(events)
     known = found.where(F.col("start_time") < F.lit("2024-01-16").cast("timestamp_ntz"))
     return d.new_dialogs(found, known, ["event_date", "conversation_id", "dialog"])
 
 
 def dialog_daily_kpis(spark, sf_dir):
-    return d.daily_kpis(d.segment_dialogs(scoped(spark, sf_dir)))
+    return d.daily_kpis(d.segment_dialogs(scoped_table(spark, sf_dir)))
 
 
 def conversation_bounce_stats(spark, sf_dir):
-    events = scoped(spark, sf_dir)
+    events = scoped_table(spark, sf_dir)
     return d.bounce_stats(events, d.segment_dialogs(events))
 
 
@@ -114,7 +120,7 @@ def lookahead_agent(spark, sf_dir):
 
 
 def agent_span_removal(spark, sf_dir):
-    merged = u.stage(u.merged_utterances(scoped(spark, sf_dir)), "utterances-merged")
+    merged = stage(u.merged_utterances(scoped(spark, sf_dir)), "utterances-merged")
     return u.remove_agent_spans(merged).select(*_PASS_COLUMNS)
 
 
