@@ -74,7 +74,7 @@ def user_instances(events: DataFrame) -> DataFrame:
     return seen.join(users, same, "left_semi").select(*KEYS, "instance_id").distinct()
 
 
-def marked_instances(events: DataFrame, keep_bounced: bool = False) -> DataFrame:
+def marked_instances(events: DataFrame) -> DataFrame:
     """One row per started instance: first start, last start, last end."""
     place = order_key(*ORDER)
     main_start = (F.col("step_name") == INITIAL_STEP) & (F.col("dialog_id") == MAIN_DIALOG)
@@ -97,7 +97,7 @@ def marked_instances(events: DataFrame, keep_bounced: bool = False) -> DataFrame
         )
     )
     valid = user_instances(events).withColumn("valid", F.lit(True))
-    started = (
+    return (
         markers.join(valid, [*KEYS, "instance_id"], "left")
         .select(
             *KEYS,
@@ -108,62 +108,69 @@ def marked_instances(events: DataFrame, keep_bounced: bool = False) -> DataFrame
         )
         .where(F.col("start").isNotNull())
     )
-    if keep_bounced:
-        return started
-    talking = user_activities(events).select(*KEYS).distinct()
-    return started.join(talking, KEYS, "left_semi")
 
 
-def numbered_dialogs(instances: DataFrame) -> DataFrame:
+def numbered_dialogs(instances: DataFrame, talking: DataFrame | None = None) -> DataFrame:
     """Dialogs with their number and the interval they may cover.
 
     ``lo`` and ``hi`` are inclusive places (``hi`` missing: open end). Dialogs
     with ``own_only`` cover rows of their own instance and rows without one;
     such rows lose to the open tail from ``tail_lo`` on.
+
+    With ``talking`` (conversations that have a user message), instances of
+    other conversations are left out. It takes part as one marker row per
+    conversation, so that a conversation with very many instances needs no
+    join on its key.
     """
-    closed = F.col("finish").isNotNull()
+    rows = instances.withColumn("talks", F.lit(talking is None))
+    if talking is not None:
+        rows = rows.unionByName(talking.withColumn("talks", F.lit(True)), allowMissingColumns=True)
+    rows = rows.withColumn("first_time", F.col("first.time"))
+    started, closed = F.col("start").isNotNull(), F.col("finish").isNotNull()
     ranked = running_totals(
-        instances.withColumn("first_time", F.col("first.time")),
+        rows,
         KEYS,
         ["first"],
-        minute_slice(instances.select(F.col("first.time").alias("first_time")), "first_time"),
-        {"closed_rank": closed.cast("int"), "rank": F.lit(1)},
-        {"n_closed": closed.cast("int")},
-    )
-    place_type = instances.schema["start"].dataType
-    nowhere = F.lit(None).cast(place_type)
-
-    covering = ranked.where(closed).select(
-        *KEYS, F.col("closed_rank").alias("number"), "instance_id",
-        F.col("start").alias("lo"), F.col("finish").alias("hi"),
-        F.lit(False).alias("abandoned_left"), F.lit(False).alias("own_only"), nowhere.alias("tail_lo"),
+        minute_slice(rows, "first_time"),
+        {"rank": started.cast("int"), "closed_rank": closed.cast("int")},
+        {"n": started.cast("int"), "n_closed": closed.cast("int")},
+        {
+            "in_use": F.col("talks"),
+            "last": F.when(started, F.struct("first", "start")),
+            "last_closed": F.when(closed, F.struct("first", "finish")),
+        },
+    ).where(started & F.col("in_use"))
+
+    nowhere = F.lit(None).cast(instances.schema["start"].dataType)
+    none_closed = F.col("n_closed") == 0
+    is_last = F.col("rank") == F.col("n")
+    tail_lo = F.col("last.start")
+    as_tail = F.when(
+        is_last & (none_closed | (F.col("start") > F.col("last_closed.finish"))),
+        F.struct(
+            F.when(none_closed, F.col("n")).otherwise(F.col("n_closed") + 1).alias("number"),
+            F.col("start").alias("lo"), nowhere.alias("hi"),
+            F.lit(True).alias("abandoned_left"), F.lit(False).alias("own_only"), nowhere.alias("tail_lo"),
+        ),
     )
-
-    last = instances.groupBy(*KEYS).agg(
-        F.max_by(F.struct("start", "instance_id"), "first").alias("last"),
-        F.max_by(F.when(closed, F.col("finish")), F.when(closed, F.col("first"))).alias("last_finish"),
-        F.count_if(closed).alias("n_closed"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    tail = last.where((F.col("n_closed") == 0) | (F.col("last.start") > F.col("last_finish"))).select(
-        *KEYS,
-        F.when(F.col("n_closed") == 0, F.col("n")).otherwise(F.col("n_closed") + 1).alias("number"),
-        F.col("last.instance_id").alias("instance_id"),
-        F.col("last.start").alias("lo"), nowhere.alias("hi"),
-        F.lit(True).alias("abandoned_left"), F.lit(False).alias("own_only"), nowhere.alias("tail_lo"),
+    as_closed = F.when(
+        closed,
+        F.struct(
+            F.col("closed_rank").alias("number"), F.col("start").alias("lo"), F.col("finish").alias("hi"),
+            F.lit(False).alias("abandoned_left"), F.lit(False).alias("own_only"), nowhere.alias("tail_lo"),
+        ),
     )
+    covering = ranked.select(
+        *KEYS, "instance_id", F.explode(F.filter(F.array(as_closed, as_tail), lambda x: x.isNotNull())).alias("d")
+    ).select(*KEYS, "instance_id", "d.*")
 
-    open_only = ranked.where(F.col("n_closed") == 0)
+    open_only = ranked.where(none_closed)
     following = open_only.select(*KEYS, (F.col("rank") - 1).alias("rank"), F.col("start").alias("hi"))
-    middle = (
-        open_only.join(following, [*KEYS, "rank"])
-        .join(last.select(*KEYS, F.col("last.start").alias("tail_lo")), KEYS)
-        .select(
-            *KEYS, F.col("rank").alias("number"), "instance_id", F.col("start").alias("lo"), "hi",
-            F.lit(True).alias("abandoned_left"), F.lit(True).alias("own_only"), "tail_lo",
-        )
+    middle = open_only.join(following, [*KEYS, "rank"]).select(
+        *KEYS, "instance_id", F.col("rank").alias("number"), F.col("start").alias("lo"), "hi",
+        F.lit(True).alias("abandoned_left"), F.lit(True).alias("own_only"), tail_lo.alias("tail_lo"),
     )
-    return covering.unionByName(tail).unionByName(middle).where(F.col("hi").isNull() | (F.col("lo") <= F.col("hi")))
+    return covering.unionByName(middle).where(F.col("hi").isNull() | (F.col("lo") <= F.col("hi")))
 
 
 def _dyadic_blocks(lo: str, hi: str) -> Column:
@@ -244,8 +251,9 @@ def segment_dialogs(
     ``events`` must be in scope and dated. ``known`` holds dialogs that were
     saved before; they are left out of the result.
     """
-    instances = stage(marked_instances(events, keep_bounced), "dialog-instances")
-    dialogs = stage(numbered_dialogs(instances), "dialogs-numbered")
+    instances = stage(marked_instances(events), "dialog-instances")
+    talking = None if keep_bounced else user_activities(events).select(*KEYS).distinct()
+    dialogs = stage(numbered_dialogs(instances, talking), "dialogs-numbered")
 
     changes = cover_changes(dialogs)
     rows = events.select(*KEYS, *ORDER, "instance_id", "name", "intent", "step_name").withColumns(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_BITS = 16
+BLOCK_BITS = 14
 BLOCK = 1 << BLOCK_BITS
 
 #: Slice number of rows without a time: they sort last.
@@ -44,7 +44,7 @@ def minute_slice(df: DataFrame, time: str, minutes: int = 1) -> Column:
 
 
 def block_slice(position: str) -> Column:
-    """Slice of a dense position: 65,536 consecutive positions each."""
+    """Slice of a dense position: ``BLOCK`` consecutive positions each."""
     return F.shiftright(F.col(position), BLOCK_BITS).cast("bigint")
 
 
@@ -67,23 +67,29 @@ def running_totals(
     slice_by: Column,
     totals: Mapping[str, Column],
     group_totals: Mapping[str, Column] | None = None,
+    group_max: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums of ``totals`` (and whole-group sums).
+    """Add inclusive running sums of ``totals`` and whole-group sums and maxima.
 
-    ``slice_by`` must be non-decreasing along ``order_by``. ``df`` is read
-    twice: once for the per-slice sums (keys and summed columns only) and once
-    for the rows.
+    ``slice_by`` must be non-decreasing along ``order_by``. Group values reach
+    the rows on the carry rows, so a large group needs no join on its key.
+    ``df`` is read twice: once for the values per slice, once for the rows.
     """
-    group_totals = dict(group_totals or {})
-    sums = {**totals, **group_totals}
-    rows = df.withColumn(_SLICE, slice_by).withColumns(
-        {f"__v_{name}": value.cast("bigint") for name, value in totals.items()}
+    group_totals, group_max = dict(group_totals or {}), dict(group_max or {})
+    rows = df.withColumns(
+        {_SLICE: slice_by, **{f"__v_{name}": value.cast("bigint") for name, value in totals.items()}}
     )
 
+    sums = {**totals, **group_totals}
     per_slice = (
-        df.select(*keys, slice_by.alias(_SLICE), *[v.cast("bigint").alias(f"__v_{n}") for n, v in sums.items()])
+        df.select(
+            *keys,
+            slice_by.alias(_SLICE),
+            *[v.cast("bigint").alias(f"__v_{n}") for n, v in sums.items()],
+            *[v.alias(f"__v_{n}") for n, v in group_max.items()],
+        )
         .groupBy(*keys, _SLICE)
-        .agg(*[F.sum(f"__v_{name}").alias(f"__v_{name}") for name in sums])
+        .agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums], *[F.max(f"__v_{n}").alias(f"__v_{n}") for n in group_max])
     )
     group = Window.partitionBy(*keys)
     before = group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -93,18 +99,23 @@ def running_totals(
         F.lit(0).alias(_MARK),
         *[F.coalesce(F.sum(f"__v_{n}").over(before), F.lit(0)).alias(f"__v_{n}") for n in totals],
         *[F.sum(f"__v_{n}").over(group).alias(f"__g_{n}") for n in group_totals],
+        *[F.max(f"__v_{n}").over(group).alias(f"__g_{n}") for n in group_max],
     )
 
     merged = rows.withColumn(_MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(_MARK, *_nulls_last(order_by))
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = (
+        Window.partitionBy(*keys, _SLICE)
+        .orderBy(_MARK, *_nulls_last(order_by))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    whole = [*group_totals, *group_max]
     return (
         merged.withColumns(
             {name: F.sum(f"__v_{name}").over(upto) for name in totals}
-            | {name: F.first(f"__g_{name}").over(upto) for name in group_totals}
+            | {name: F.first(f"__g_{name}").over(upto) for name in whole}
         )
         .where(F.col(_MARK) == 1)
-        .select(*df.columns, *totals, *group_totals)
+        .select(*df.columns, *totals, *whole)
     )
 
 

@@ -251,15 +251,17 @@ def with_runs(
     return out.withColumn("utterance_pos", F.col("utterance_pos") - 1)
 
 
-def _absorb_next(utterances: DataFrame, condition: Column, updates: dict[str, Column]) -> DataFrame:
+def _absorb_next(
+    utterances: DataFrame, peek: Sequence[str], condition: Column, updates: dict[str, Column]
+) -> DataFrame:
     """Merge the next utterance of the run into this one where ``condition``.
 
-    ``condition`` and ``updates`` may use the struct ``next``. Each pass reads
-    only its own input: a row that is itself merged away may still absorb.
+    ``condition`` and ``updates`` may use the ``peek`` columns of the struct
+    ``next``. Each pass reads only its own input: a row that is itself merged
+    away may still absorb.
     """
     run = Window.partitionBy(*KEYS, "run").orderBy("utterance_pos")
-    columns = utterances.columns
-    peeked = utterances.withColumn("next", F.lead(F.struct(*columns)).over(run))
+    peeked = utterances.withColumn("next", F.lead(F.struct("resolved_conversation_id", *peek)).over(run))
     judged = peeked.withColumn(
         "absorbs",
         F.col("next").isNotNull()
@@ -269,12 +271,8 @@ def _absorb_next(utterances: DataFrame, condition: Column, updates: dict[str, Co
     return (
         judged.withColumn("absorbed", F.lag("absorbs", 1, False).over(run))
         .where(~F.col("absorbed"))
-        .select(
-            *[
-                F.when(F.col("absorbs"), updates[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
-                for c in columns
-            ]
-        )
+        .withColumns({c: F.when(F.col("absorbs"), new).otherwise(F.col(c)) for c, new in updates.items()})
+        .drop("next", "absorbs", "absorbed")
     )
 
 
@@ -286,6 +284,7 @@ def absorb_brand_choice(utterances: DataFrame, brands: Sequence[str] = BRANDS) -
     ]
     return _absorb_next(
         utterances,
+        [*copied, "text"],
         (F.col("intent") == IDENTIFY_BRAND)
         & _same_role()
         & ~F.col("next.intent").eqNullSafe(F.lit(FAILED_UTTERANCE))
@@ -311,6 +310,7 @@ def absorb_agent_confirmation(utterances: DataFrame) -> DataFrame:
     """A silent or confirming hand-over to an agent belongs to the request before it."""
     return _absorb_next(
         utterances,
+        ["agent_connection", "text"],
         F.col("next.agent_connection")
         & (F.col("next.text").isNull() | (F.lower("next.text") == AGENT_CONFIRMATION)),
         _agent_updates(),
@@ -320,7 +320,10 @@ def absorb_agent_confirmation(utterances: DataFrame) -> DataFrame:
 def absorb_agent_request(utterances: DataFrame, phrases: Sequence[str] = AGENT_PHRASES) -> DataFrame:
     """An explicit request for an agent belongs to the utterance before it."""
     return _absorb_next(
-        utterances, F.col("next.agent_connection") & _listed("next.text", phrases), _agent_updates()
+        utterances,
+        ["agent_connection", "text"],
+        F.col("next.agent_connection") & _listed("next.text", phrases),
+        _agent_updates(),
     )
 
 

@@ -24,7 +24,7 @@ def test_dialogs(spark, keep_bounced):
     assert got == expected
 
 
-@pytest.mark.parametrize("block_bits", [2, 16])
+@pytest.mark.parametrize("block_bits", [2, 14])
 def test_utterances(spark, monkeypatch, block_bits):
     monkeypatch.setattr(ordered, "BLOCK_BITS", block_bits)
     rows = gen.conversations(seed=11, count=1500, max_size=40, utterances=True)
