@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,15 +15,21 @@ def daily_users(events: DataFrame, approx: bool = False) -> DataFrame:
 def client_type_distribution(events: DataFrame) -> DataFrame:
     """Users per client type and date, and their share of the users of that date.
 
-    Both counts come from one set of distinct (date, client type, user), so a
-    hot user or date is reduced before the shuffle. The per-date totals are
-    small; whether they are broadcast is left to the size check of the engine.
+    Both counts come from one scan with two grouping sets, reduced per user
+    before the shuffle. The total then reaches the client types of its date by
+    a window over the result, which has one row per date and client type.
+    Undated rows have no total.
     """
-    seen = events.select("date", "client_type", "user_id").distinct()
-    per_type = seen.groupBy("date", "client_type").agg(F.count("user_id").alias("user_base"))
-    totals = seen.groupBy("date").agg(F.count_distinct("user_id").alias("total_users"))
-    return per_type.join(totals, "date", "left").withColumn(
-        "percent_users", F.try_divide(F.col("user_base"), F.col("total_users")) * F.lit(100.0)
+    counts = events.groupingSets([["date", "client_type"], ["date"]], "date", "client_type").agg(
+        F.count_distinct("user_id").alias("user_base"), F.grouping("client_type").alias("is_total")
+    )
+    of_date = Window.partitionBy("date")
+    total = F.max(F.when(F.col("is_total") == 1, F.col("user_base"))).over(of_date)
+    return (
+        counts.withColumn("total_users", F.when(F.col("date").isNotNull(), total))
+        .where(F.col("is_total") == 0)
+        .drop("is_total")
+        .withColumn("percent_users", F.try_divide(F.col("user_base"), F.col("total_users")) * F.lit(100.0))
     )
 
 

@@ -11,6 +11,7 @@ from parley.functions.times import in_date_range
 from parley.operators import dialogs as d
 from parley.operators import utterances as u
 from parley.operators.ordered import minute_slice, position
+from parley.plans.bot_reports import conversation_events
 from parley.sources.bot_events import bot_events_sql, derived_bot_events
 from parley.staging import stage
 
@@ -37,13 +38,7 @@ def event_position(spark, sf_dir):
 
 
 def filter_conversation_events(spark, sf_dir):
-    events = bot_events(spark, sf_dir)
-    wanted = "c7-in"
-    return events.where(
-        (F.col("props_conversation_id") == wanted) | (F.col("props_master_conversation_id") == wanted)
-    ).where(F.col("conversation_id").isNotNull() & F.col("conversation_id").endswith("-in")).select(
-        "event_id", "conversation_id", "name"
-    )
+    return conversation_events(scoped(spark, sf_dir), "c7-in").select("event_id", "conversation_id", "name")
 
 
 def filter_date_range(spark, sf_dir):

@@ -118,6 +118,17 @@ def compact(
     current.write.parquet(f"{root}/base/version={upto}")
 
 
+def history(spark: SparkSession, root: str) -> DataFrame:
+    """One row per batch: rows written and files read."""
+    written = read_changes(spark, root).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_written"))
+    files = (
+        spark.read.option("basePath", f"{root}/audit").parquet(f"{root}/audit")
+        .groupBy("batch_id")
+        .agg(F.count(F.lit(1)).alias("files_read"), F.max("file_commit_time").alias("committed"))
+    )
+    return written.join(files, "batch_id", "left")
+
+
 def start_file_audit(spark: SparkSession, bronze: str, target: str, processing_time: str | None = None) -> StreamingQuery:
     """A stream over a stored stream: names of the files each row came from.
 
