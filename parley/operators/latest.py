@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """64-bit digest of whole rows; the last tie-breaker between versions."""
-    return F.xxhash64(*columns)
+def row_digest(df: DataFrame, leave_out: Sequence[str] = ()) -> Column:
+    """64-bit digest of a row. Maps cannot be hashed; their JSON text can."""
+    parts = [
+        F.to_json(c) if t.startswith(("map", "struct", "array")) else F.col(c)
+        for c, t in df.dtypes
+        if c not in leave_out
+    ]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
 def any_key_null(keys: Sequence[str]) -> Column:
@@ -39,13 +44,7 @@ def newest_per_key(
         raise ValueError(f"null_keys: {null_keys}")
     others = [c for c in df.columns if c not in keys]
     keyed = df if null_keys == "collapse" else df.where(~any_key_null(keys))
-    # Map columns cannot be hashed; their sorted entries can.
-    digestible = [
-        F.to_json(c) if t.startswith(("map", "struct", "array")) else F.col(c)
-        for c, t in df.dtypes
-        if c not in keys
-    ]
-    rank = F.struct(*[F.col(c) for c in sequence], F.xxhash64(*digestible) if digestible else F.lit(0))
+    rank = F.struct(*[F.col(c) for c in sequence], row_digest(df, keys))
     newest = (
         keyed.groupBy(*keys)
         .agg(F.max_by(F.struct(*others), rank).alias("__row"))

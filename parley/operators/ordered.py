@@ -9,8 +9,8 @@ with one row per (group, slice).
 
 Bounds. With ``minute_slice`` a group that is confined to one day has at most
 1,440 slices (one more for missing times), and a slice holds one minute of one
-group. With ``block_slice`` a slice holds at most ``BLOCK`` positions by
-construction and a group of N rows has N / BLOCK slices.
+group. With ``block_slice`` a slice holds at most 16,384 positions by
+construction and a group of N rows has N / 16,384 slices.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A slice of dense positions holds 2 ** BLOCK_BITS of them (16,384).
 BLOCK_BITS = 14
-BLOCK = 1 << BLOCK_BITS
 
 #: Slice number of rows without a time: they sort last.
 LAST_SLICE = (1 << 62)
@@ -44,7 +44,7 @@ def minute_slice(df: DataFrame, time: str, minutes: int = 1) -> Column:
 
 
 def block_slice(position: str) -> Column:
-    """Slice of a dense position: ``BLOCK`` consecutive positions each."""
+    """Slice of a dense position: 16,384 consecutive positions each."""
     return F.shiftright(F.col(position), BLOCK_BITS).cast("bigint")
 
 

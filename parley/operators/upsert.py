@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.operators.latest import any_key_null, newest_per_key
+from parley.operators.latest import any_key_null, newest_per_key, row_digest
 
 _FROM = "__from_changes"
 
@@ -121,8 +121,10 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
     """Rows in ranges of ``column``, sorted within each file.
 
-    Splitting by sampled ranges keeps files even for any distribution of
-    distinct values, and gives narrow min/max statistics for file skipping.
+    Files are split by sampled ranges of (column, row digest), so they stay
+    even when very many rows share one value, and the narrow min/max statistics
+    of each file let readers skip it.
     """
-    ranged = df.repartitionByRange(partitions, column) if partitions else df.repartitionByRange(column)
+    bounds = [F.col(column), row_digest(df, [column])]
+    ranged = df.repartitionByRange(partitions, *bounds) if partitions else df.repartitionByRange(*bounds)
     return ranged.sortWithinPartitions(column)

@@ -5,7 +5,9 @@ hot activity is combined before the shuffle. The clean-up passes look at
 neighbouring utterances of a conversation. They need no window over a whole
 conversation: an utterance whose text none of the passes can absorb starts a
 new *run*, passes never reach across runs, and windows run per run. Run
-numbers and positions come from sliced running totals.
+numbers and positions come from sliced running totals. A run that is itself
+very long (one conversation repeating a request, say) is cut into blocks, and
+the rows next to a cut take part in both blocks.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.operators import ordered
 from parley.operators.dialogs import FAILED_UTTERANCE, KEYS, USER_MESSAGE
-from parley.operators.ordered import block_slice, minute_slice, running_totals
+from parley.operators.ordered import block_slice, minute_slice, position, running_totals
 from parley.staging import stage
 
 # Names, sentences and word lists of the bot.
@@ -60,6 +63,7 @@ WHITESPACE = " \t\n\r\f\v"
 
 IDS = ["app_role_name", "props_conversation_id", "props_master_conversation_id"]
 ORDER = ["first_time", "activity_id", "first_event_id"]
+RUN = [*KEYS, "run"]
 OUTPUT = [
     "time", "text", "activity_id", "intent", "intent_score", "app_role_name", "child_app_role_name",
     "props_conversation_id", "props_master_conversation_id", "conversation_id", "agent_connection",
@@ -260,7 +264,8 @@ def _absorb_next(
     ``next``. Each pass reads only its own input: a row that is itself merged
     away may still absorb.
     """
-    run = Window.partitionBy(*KEYS, "run").orderBy("utterance_pos")
+    parts = [*RUN, "block"] if "block" in utterances.columns else RUN
+    run = Window.partitionBy(*parts).orderBy("utterance_pos")
     peeked = utterances.withColumn("next", F.lead(F.struct("resolved_conversation_id", *peek)).over(run))
     judged = peeked.withColumn(
         "absorbs",
@@ -385,12 +390,57 @@ def final_scores(utterances: DataFrame, words: Sequence[str] = FILLERS_AFTER) ->
 def prepared_utterances(events: DataFrame) -> DataFrame:
     """Resolved, scored and numbered utterances: the input of the passes."""
     scored = stage(drop_fillers(raw_scores(resolve_intents(events))), "utterances-scored")
-    return with_runs(scored)
+    return stage(with_runs(scored), "utterances-numbered")
+
+
+PASSES = (absorb_brand_choice, absorb_agent_confirmation, absorb_agent_request)
+
+
+def _in_blocks(utterances: DataFrame) -> DataFrame:
+    """Blocks of a run; the rows on both sides of a cut stand in both blocks (``edge``)."""
+    size = 1 << ordered.BLOCK_BITS
+    placed = position(utterances, RUN, ["utterance_pos"], block_slice("utterance_pos"), "place")
+    block, offset = block_slice("place"), F.col("place") % size
+
+    def member(number: Column, edge: bool) -> Column:
+        return F.struct(number.alias("block"), F.lit(edge).alias("edge"))
+
+    members = F.array(
+        member(block, False),
+        F.when((offset == 0) & (F.col("place") > 0), member(block - 1, True)),
+        F.when(offset == size - 1, member(block + 1, True)),
+    )
+    return placed.select(
+        *utterances.columns, F.explode(F.filter(members, lambda m: m.isNotNull())).alias("m")
+    ).select(*utterances.columns, "m.block", "m.edge")
+
+
+def merge_passes(numbered: DataFrame) -> DataFrame:
+    """The three merging passes over numbered utterances (a stored table).
+
+    Runs longer than a block are rare; they are told apart by their size and
+    go through each pass in blocks, renumbered after every pass.
+    """
+    size = 1 << ordered.BLOCK_BITS
+    long_runs = numbered.groupBy(*RUN).count().where(F.col("count") > size).select(*RUN)
+    if long_runs.isEmpty():
+        merged = numbered
+        for merge in PASSES:
+            merged = merge(merged)
+        return merged
+
+    long_runs = stage(long_runs, "long-runs")
+    merged = numbered.join(long_runs, RUN, "left_anti").select(*numbered.columns)
+    rest = numbered.join(long_runs, RUN, "left_semi").select(*numbered.columns)
+    for merge in PASSES:
+        merged = merge(merged)
+        rest = stage(merge(_in_blocks(rest)).where(~F.col("edge")).drop("block", "edge"), "long-runs-merged")
+    return merged.unionByName(rest)
 
 
 def merged_utterances(events: DataFrame) -> DataFrame:
     """Utterances after the three merging passes."""
-    return absorb_agent_request(absorb_agent_confirmation(absorb_brand_choice(prepared_utterances(events))))
+    return merge_passes(prepared_utterances(events))
 
 
 def score_utterances(events: DataFrame) -> DataFrame:

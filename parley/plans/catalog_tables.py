@@ -63,9 +63,9 @@ KEY = ["user_id", "event_type"]
 
 
 def _parts(spark, sf_dir):
-    """Target and changes: two thirds of the rows each, one third in both."""
+    """Two deliveries that cover the table and overlap: up to the 20th, and from the 11th on."""
     rows = events(spark, sf_dir)
-    return rows.where(F.col("event_id") % 3 != 0), rows.where(F.col("event_id") % 3 != 1)
+    return rows.where(F.to_date("ts") <= "2024-01-20"), rows.where(F.to_date("ts") >= "2024-01-11")
 
 
 def dedupe_latest(spark, sf_dir):
@@ -73,15 +73,15 @@ def dedupe_latest(spark, sf_dir):
 
 
 def upsert_latest(spark, sf_dir):
-    """Last write wins: a change replaces the stored row even if it is older."""
-    target, changes = _parts(spark, sf_dir)
-    return ups.upsert(newest_per_key(target, KEY, ["ts", "event_id"]), changes, KEY, ["ts", "event_id"], guard=False)
+    """Last write wins: the older delivery arrives last and replaces newer rows."""
+    early, late = _parts(spark, sf_dir)
+    return ups.upsert(newest_per_key(late, KEY, ["ts", "event_id"]), early, KEY, ["ts", "event_id"], guard=False)
 
 
 def cdc_scd1(spark, sf_dir):
-    """Greatest sequence wins, whatever the arrival order."""
-    target, changes = _parts(spark, sf_dir)
-    return ups.upsert(newest_per_key(changes, KEY, ["ts", "event_id"]), target, KEY, ["ts", "event_id"], guard=True)
+    """Greatest sequence wins: the older delivery arrives last and changes nothing."""
+    early, late = _parts(spark, sf_dir)
+    return ups.upsert(newest_per_key(late, KEY, ["ts", "event_id"]), early, KEY, ["ts", "event_id"], guard=True)
 
 
 def upsert_partial(spark, sf_dir):
@@ -114,7 +114,7 @@ def snapshot_roundtrip(spark, sf_dir):
 
 
 _LATEST = """
-WITH tg AS (SELECT * FROM events WHERE event_id % 3 <> 0), ch AS (SELECT * FROM events WHERE event_id % 3 <> 1),
+WITH tg AS (SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'), ch AS (SELECT * FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-11'),
 tn AS (SELECT * FROM tg QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
 cn AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)"""
 
@@ -340,8 +340,9 @@ def schema_evolve_union(spark, sf_dir):
     """Two appends, the second with a new column; read back merged."""
     rows = events(spark, sf_dir)
     path = staging_path(spark, "evolving")
-    tables.append(rows.where("event_id % 2 = 0").select("event_id", "user_id"), path)
-    tables.append(rows.where("event_id % 2 = 1").select("event_id", "user_id", "event_type"), path)
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    tables.append(rows.where(F.col("ts") < middle).select("event_id", "user_id"), path)
+    tables.append(rows.where(F.col("ts") >= middle).select("event_id", "user_id", "event_type"), path)
     wanted = T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()), T.StructField("region", T.StringType()),
@@ -362,8 +363,8 @@ ORACLES = {
         array_to_string(list_sort(list(DISTINCT app_role_name)), ',') AS communication_channel FROM app GROUP BY 1, 2, 3""",
     "dedupe_latest": """SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
-    "upsert_latest": _LATEST + """ SELECT * FROM cn UNION ALL
-        SELECT * FROM tn WHERE NOT EXISTS (SELECT 1 FROM cn WHERE cn.user_id = tn.user_id AND cn.event_type = tn.event_type)""",
+    "upsert_latest": _LATEST + """ SELECT * FROM tn UNION ALL
+        SELECT * FROM cn WHERE NOT EXISTS (SELECT 1 FROM tn WHERE cn.user_id = tn.user_id AND cn.event_type = tn.event_type)""",
     "cdc_scd1": """SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
     "upsert_partial": _LATEST + """,
@@ -422,7 +423,7 @@ ORACLES = {
     "json_malformed_capture": """SELECT CASE WHEN event_id % 3 = 2 THEN CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) END AS k,
         CASE WHEN event_id % 3 = 0 THEN substr(props, 1, 4) WHEN event_id % 3 = 1 THEN regexp_replace(props, '([0-9]+)', '"n\\1"') END AS _rescued_data
         FROM events""",
-    "schema_evolve_union": """SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type,
+    "schema_evolve_union": """SELECT event_id, user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS event_type,
         CAST(NULL AS VARCHAR) AS region FROM events""",
 }
 ORACLES["schema_enforce"] = ORACLES["gold_client_type_distribution"]

@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from parley.operators.audit import batch_file_audit
 from parley.operators.latest import newest_per_key
@@ -69,10 +70,17 @@ def start_upsert(
     return writer.start()
 
 
-def read_changes(spark: SparkSession, root: str, after: int = -1, upto: int | None = None) -> DataFrame:
-    """Change rows with their ``batch_id``; folders outside the range are pruned."""
-    changes = spark.read.option("mergeSchema", True).option("basePath", f"{root}/changes").parquet(f"{root}/changes")
-    changes = changes.where(F.col("batch_id") > after)
+def read_changes(
+    spark: SparkSession, root: str, after: int = -1, upto: int | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """Change rows with their ``batch_id``; folders outside the range are pruned.
+
+    Without ``schema`` the schemas of all files are merged, which reads every
+    footer; give it when there are many batches.
+    """
+    reader = spark.read.option("basePath", f"{root}/changes")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    changes = reader.parquet(f"{root}/changes").where(F.col("batch_id") > after)
     return changes.where(F.col("batch_id") <= upto) if upto is not None else changes
 
 
@@ -84,6 +92,7 @@ def read_current(
     guard: bool = True,
     upto: int | None = None,
     null_keys: str = "append",
+    schema: StructType | None = None,
 ) -> DataFrame:
     """The table as of batch ``upto`` (default: now).
 
@@ -93,9 +102,9 @@ def read_current(
     folded = [v for v in versions(spark, f"{root}/base") if upto is None or v <= upto]
     if folded:
         base = spark.read.parquet(f"{root}/base/version={folded[-1]}")
-        rows = base.unionByName(read_changes(spark, root, folded[-1], upto), allowMissingColumns=True)
+        rows = base.unionByName(read_changes(spark, root, folded[-1], upto, schema), allowMissingColumns=True)
     else:
-        rows = read_changes(spark, root, upto=upto)
+        rows = read_changes(spark, root, upto=upto, schema=schema)
     order = [*sequence, "batch_id"] if guard else ["batch_id", *sequence]
     return newest_per_key(rows, keys, order, null_keys)
 

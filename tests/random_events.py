@@ -23,7 +23,10 @@ SCHEMA = T.StructType([
 ])
 
 
-def conversation(rng: random.Random, conversation_id: str, size: int, utterances: bool) -> list[dict]:
+def conversation(
+    rng: random.Random, conversation_id: str, size: int, utterances: bool, sticky: bool = False
+) -> list[dict]:
+    """``sticky``: nearly every utterance may be merged into the one before it."""
     day = dt.date(2024, 3, 1 + rng.randrange(2))
     start = dt.datetime.combine(day, dt.time(0, 0))
     rows = []
@@ -35,6 +38,9 @@ def conversation(rng: random.Random, conversation_id: str, size: int, utterances
     texts = [
         "Yes", "cancel", " Croma ", "ihcl", "customer care", "Yes, please.", "hello", "track", None, None, "show more",
     ]
+    if sticky:
+        names = ["BotMessageReceived"] * 5 + ["LuisResult"] * 3 + ["BotMessageSend"] * 3
+        texts = ["croma", "ihcl", "customer care", "yes, please.", "qmin", "need to talk to executive"] * 4 + ["hello"]
     for i in range(size):
         name = rng.choice(names)
         step, dialog = rng.choice([
@@ -52,7 +58,7 @@ def conversation(rng: random.Random, conversation_id: str, size: int, utterances
             # Few distinct times, so that ties and several minutes both occur.
             "time": start + dt.timedelta(seconds=rng.randrange(6) * 50),
             "name": name, "text": text,
-            "activity_id": rng.choice(["a0", "a1", "a2", "a3", None] if not utterances else [f"a{k}" for k in range(8)]),
+            "activity_id": rng.choice(["a0", "a1", "a2", "a3", None] if not utterances else [f"a{k}" for k in range(max(4, size // 3))]),
             "instance_id": rng.choice(["i0", "i1", "i2", None]) if not utterances else None,
             "step_name": step, "dialog_id": dialog,
             "intent": rng.choice(["Cancel", "IdentifyBrand", "IdentifyBrand", "Help", "Track", None]) if name == "LuisResult" or rng.random() < 0.1 else None,
@@ -65,12 +71,12 @@ def conversation(rng: random.Random, conversation_id: str, size: int, utterances
     return rows
 
 
-def conversations(seed: int, count: int, max_size: int, utterances: bool) -> list[dict]:
+def conversations(seed: int, count: int, max_size: int, utterances: bool, sticky: bool = False) -> list[dict]:
     rng = random.Random(seed)
     return [
         row
         for n in range(count)
-        for row in conversation(rng, f"c{n}-in", rng.randrange(1, max_size), utterances)
+        for row in conversation(rng, f"c{n}-in", rng.randrange(1, max_size), utterances, sticky)
     ]
 
 

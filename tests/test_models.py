@@ -24,13 +24,18 @@ def test_dialogs(spark, keep_bounced):
     assert got == expected
 
 
-@pytest.mark.parametrize("block_bits", [2, 14])
-def test_utterances(spark, monkeypatch, block_bits):
+@pytest.mark.parametrize("block_bits, sticky", [(14, False), (14, True), (2, False), (2, True)])
+def test_utterances(spark, monkeypatch, block_bits, sticky):
+    """With two bits, runs of more than four utterances take the way of long runs."""
     monkeypatch.setattr(ordered, "BLOCK_BITS", block_bits)
-    rows = gen.conversations(seed=11, count=1500, max_size=40, utterances=True)
+    rows = gen.conversations(seed=11, count=500, max_size=90, utterances=True, sticky=sticky)
     expected = sorted(
         (tuple(map(str, t)) for part in gen.grouped(rows).values() for t in models.utterances(part))
     )
-    out = u.score_utterances(d.in_scope(gen.frame(spark, rows)))
+    events = d.in_scope(gen.frame(spark, rows))
+    numbered = u.prepared_utterances(events)
+    longest = numbered.groupBy(*u.RUN).count().agg({"count": "max"}).head()[0]
+    assert longest > (12 if sticky else 4)
+    out = u.score_utterances(events)
     assert len(expected) > 1000
     assert sorted(tuple(map(str, r)) for r in out.collect()) == expected
