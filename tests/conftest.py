@@ -11,7 +11,8 @@ from parley.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[*]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "6g"}
+        "tests", "local[*]", 8,
+        **{"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.buffer.pageSize": "2m"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
