@@ -27,8 +27,8 @@ RAW_EVENT = _struct(
 #: Type hints laid over an inferred event schema.
 EVENT_HINTS = "Properties MAP<STRING,STRING>, _BilledSize INT"
 
-#: Bot events as the dialog and utterance operators read them:
-#: property path -> column name.
+# Property names of the bot framework.
+#: Bot events as the dialog and utterance operators read them: path -> column name.
 BOT_EVENT_COLUMNS = {
     "time": "time",
     "Name": "name",

@@ -144,6 +144,8 @@ def test_staging_follows_the_session_setting(spark):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.replace(".", "_"), d)), sparkContext=context)
 
     assert staging_root(session("yarn", spark_checkpoint_dir="hdfs://shared/cp/")) == "hdfs://shared/cp"
-    assert staging_root(session("local[2]")) == staging_root(spark)
+    own = staging_root(session("local[2]"))
+    assert "parley-staging-" in own and staging_root(session("local[2]")) == own
+    assert staging_root(spark) == (spark.conf.get("spark.checkpoint.dir", None) or own).rstrip("/")
     with pytest.raises(RuntimeError):
         staging_root(session("yarn"))
