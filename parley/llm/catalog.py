@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from parley.llm import mixing, pieces
+from parley.llm import mixing, pieces, pii, secrets
 
 QUERIES = {
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_sentencepiece": pieces.op8_sentencepiece,
+    "op10_personal_data": pii.op10_personal_data,
 }
 ORACLES = {
     "op7_mix_sources": mixing.OP7_SQL,
