@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from parley.llm import mixing, pieces, pii, secrets
+from parley.llm import mixing, pieces, pii, secrets, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_sentencepiece": pieces.op8_sentencepiece,
