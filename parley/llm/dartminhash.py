@@ -1,7 +1,8 @@
 """Near-duplicate documents by weighted minwise hashing with darts.
 
-A document is a weighted set: its runs of ``SHINGLE`` words, weighted by how
-often each occurs. Every element owns a region (its hash x its weight) on which
+A document is a weighted set: its runs of ``SHINGLE`` words, weighted by one
+plus the logarithm of how often each occurs (a line that fills a page by
+repetition does not make two pages alike). Every element owns a region (its hash x its weight) on which
 darts fall as a Poisson process whose darts follow from the element's hash
 alone; each dart has a height inside the region, a coordinate and an arrival
 rank. A dart counts if its height lies below the element's weight. Of each
@@ -71,10 +72,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def elements(text: str, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct word runs of a text and their counts."""
+    """Hashes of the distinct word runs of a text and their weights, 1 + log2 of how often they occur."""
     words = _WORD.findall(text.lower())
     if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0)
     ids = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
     n = max(1, len(ids) - shingle + 1)
     runs = np.zeros(n, np.uint64)
@@ -82,7 +83,8 @@ def elements(text: str, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
         for i in range(min(shingle, len(ids))):
             runs = runs * _U(0x9E3779B97F4A7C15) + ids[i : i + n]
         runs = _mix(runs + _U(len(ids) if len(ids) < shingle else shingle))
-    return np.unique(runs, return_counts=True)
+    distinct, counts = np.unique(runs, return_counts=True)
+    return distinct, 1.0 + np.log2(counts)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
