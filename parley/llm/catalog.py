@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from parley.llm import dartminhash, mixing, pieces, pii, secrets, toxicity
+from parley.llm import dartminhash, mixing, pieces, pii, secrets, sentence_spans, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_near_duplicates": dartminhash.op3_near_duplicates,
+    "op4_sentence_spans": sentence_spans.op4_sentence_spans,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_sentencepiece": pieces.op8_sentencepiece,
