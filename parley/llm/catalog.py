@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from parley.llm import dartminhash, mixing, pieces, pii, secrets, sentence_spans, toxicity
+from parley.llm import block_topk, cross_polytope, dartminhash, mixing, pieces, pii, secrets, sentence_spans, toxicity
 
 QUERIES = {
+    "op1_exact_topk": block_topk.op1_exact_topk,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_near_duplicates": dartminhash.op3_near_duplicates,
     "op4_sentence_spans": sentence_spans.op4_sentence_spans,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_sentencepiece": pieces.op8_sentencepiece,
+    "op9_nearest": cross_polytope.op9_nearest,
     "op10_personal_data": pii.op10_personal_data,
 }
 ORACLES = {
+    "op1_exact_topk": block_topk.OP1_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
 }
