@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.llm import block_topk, cross_polytope, dartminhash, mixing, pieces, pii, secrets, sentence_spans, toxicity
+from parley.llm import block_topk, cross_polytope, dartminhash, mixing, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
 
 QUERIES = {
     "op1_exact_topk": block_topk.op1_exact_topk,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_near_duplicates": dartminhash.op3_near_duplicates,
     "op4_sentence_spans": sentence_spans.op4_sentence_spans,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op6_repeated_bytes": prefix_free.op6_repeated_bytes,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_nearest": cross_polytope.op9_nearest,
