@@ -21,7 +21,7 @@ Equal texts are one node throughout (a 64-bit hash of the text), so copies
 cost one signature row each and no pairs. A text without words (null, blank)
 is a class of its own. A text of fewer than five words is one element.
 Repeated ids are rows of their own. The columns read are ``doc_id`` and
-``text``; others do not matter.
+``text``; others do not matter. An empty table has no classes.
 """
 
 from __future__ import annotations
@@ -33,10 +33,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import small_batches, table
+from parley.llm.common import kept_aside, small_batches, table
 from parley.llm.components import components
 from parley.staging import stage
 
@@ -265,7 +265,11 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
 
 
 def classed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``_node`` (null without words), ``_root`` and ``class_id``, the smallest id of the class."""
+    """``docs`` with ``_node`` (null without words), ``_root`` and ``class_id``, the smallest id of the class.
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("class_id", "_node", "_root")
     docs = docs.withColumn("_node", F.when(F.col("text").rlike(r"(?U)\w"), F.xxhash64("text")))
     ids = docs.filter(F.col("_node").isNotNull()).groupBy("_node").agg(F.min("doc_id").alias("least_id"))
     roots = near_duplicate_classes(docs, threshold).toDF("_node", "_root")
@@ -276,15 +280,12 @@ def classed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with the smallest id of each class (one of equal ids), and all without words."""
-    from pyspark.sql import Window
-
-    names = docs.columns
-    marked = classed(docs, threshold)
+    marked = classed(kept_aside(docs, "doc_id", "text"), threshold)
     kept = marked.filter(F.col("_node").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id")))
     # Equal ids inside a class are rare; the window only sees the smallest id of each class.
     same = Window.partitionBy("_root", "doc_id").orderBy("_node")
     numbered = kept.withColumn("_n", F.when(F.col("_node").isNull(), 1).otherwise(F.row_number().over(same)))
-    return numbered.filter("_n = 1").select(*names)
+    return numbered.filter("_n = 1").select("_row.*")
 
 
 def op3_near_duplicates(spark, sf_dir):

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import partitions
+from parley.llm.common import kept_aside, partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -110,14 +110,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     The document that the budget cuts is taken in the last pass if at least half of it lies inside.
     """
-    taken = mix(docs, **options)
+    taken = mix(kept_aside(docs, "doc_id", "text", "source"), **options)
     copies = F.col("epochs") + F.when((F.col("rest") > 0) & (2 * F.col("rest") >= F.col("size")), 1).otherwise(0)
     # Texts without words cost nothing; they are kept once.
     copies = F.when(F.col("size") == 0, 1).otherwise(copies)
-    return (
-        taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-        .select(*[taken[c] for c in docs.columns])
-    )
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("_row.*")
 
 
 def op7_mix_sources(spark, sf_dir):

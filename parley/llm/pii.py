@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import small_batches, table
+from parley.llm.common import kept_aside, small_batches, table
 from parley.staging import stage
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
@@ -215,9 +215,9 @@ def sanitise_documents(docs: DataFrame, **options) -> DataFrame:
             out.append(text if text is None else "".join([*parts, text[at:]]))
         return pd.Series(out, dtype=object)
 
-    spans = disclosure_spans(docs.withColumn("_text", F.col("text")), **options)
-    cleaned = spans.withColumn("text", apply("_text", "base", "terms"))
-    return cleaned.select(*docs.columns)
+    spans = disclosure_spans(kept_aside(docs, "text"), **options)
+    cleaned = spans.withColumn("_text", apply("_row.text", "base", "terms"))
+    return cleaned.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"_row.{c}") for c in docs.columns])
 
 
 def op10_personal_data(spark, sf_dir):

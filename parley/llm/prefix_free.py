@@ -57,6 +57,8 @@ def _signed(x: int) -> int:
 
 def phrases(data: bytes, size: int = SIZE, gram: int = GRAM, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Triggers, and the first and last start of the strings whose first trigger each is."""
+    if gram & (gram - 1) or size < reach + gram:
+        raise ValueError("gram must be a power of two, and a string must hold reach + gram bytes")
     n = len(data) - size + 1
     if n < 1:
         return (np.empty(0, np.int64),) * 3

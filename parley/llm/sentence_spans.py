@@ -67,7 +67,7 @@ def span_hashes(parts: list[tuple[str, list[str]]], span: int = SPAN, min_words:
 
 
 def repeated_places(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
-    """``_id, _hash, places``: for each (id, text) the spans that occur earlier elsewhere."""
+    """``_id, _hash, _places``: for each (id, text) the spans that occur earlier elsewhere."""
 
     @F.pandas_udf("array<long>")
     def hashes(texts: pd.Series) -> pd.Series:
@@ -85,7 +85,7 @@ def repeated_places(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
         ~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_hash") == F.col("first._hash")) & (F.col("place") == F.col("first.place")))
     )
     # Copies of one row name the same places; a set per row stays within the text's length.
-    return others.groupBy("_id", "_hash").agg(F.collect_set("place").alias("places"))
+    return others.groupBy("_id", "_hash").agg(F.collect_set("place").alias("_places"))
 
 
 def remove_repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
@@ -111,7 +111,7 @@ def remove_repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     keyed = docs.select(*names).withColumn("_hash", F.xxhash64("text"))
     joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_hash"] == found["_hash"]), "left").drop(found["_hash"]).drop("_id")
     nth = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0)))
-    done = joined.withColumn("_cut", cut("text", "places", nth))
+    done = joined.withColumn("_cut", cut("text", "_places", nth))
     return done.select(*[F.col("_cut.text").alias("text") if c == "text" else F.col(c) for c in names], "_cut.n_sentences", "_cut.n_removed")
 
 
