@@ -48,24 +48,24 @@ def flatten_map(df: DataFrame, column: str, keys: Sequence[str], prefix: str = "
     return df.select("*", *[F.col(column)[k].alias(f"{prefix}{k}") for k in keys]).drop(column)
 
 
-def map_key_set(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Distinct keys of a map column, sorted: they become column names.
+def frequent_keys(df: DataFrame, column: str, columns: int) -> list[str]:
+    """The ``columns`` most frequent keys of a map column, and one more if there are others; by frequency."""
+    counted = df.select(F.explode(F.map_keys(column)).alias("key")).groupBy("key").count()
+    return [r.key for r in counted.orderBy(F.desc("count"), "key").limit(columns + 1).collect()]
 
-    A key set this large is a modelling error (the keys are data), so more
-    than ``limit`` of them is refused rather than cut off.
-    """
-    keys = [
-        r[0]
-        for r in df.select(F.explode(F.map_keys(column)).alias("key")).distinct().limit(limit + 1).collect()
-    ]
-    if len(keys) > limit:
-        raise ValueError(f"{column} holds more than {limit} distinct keys; explode it instead")
-    return sorted(keys)
 
+def flatten_map_dynamic(df: DataFrame, column: str, prefix: str = "Properties_", columns: int = 1000) -> DataFrame:
+    """``flatten_map`` with the keys found in the data (one extra pass), in the order of their names.
 
-def flatten_map_dynamic(df: DataFrame, column: str, prefix: str = "Properties_") -> DataFrame:
-    """``flatten_map`` with the keys found in the data (one extra pass)."""
-    return flatten_map(df, column, map_key_set(df, column), prefix)
+    A table has room for so many columns only. Entries of less frequent keys
+    stay together in the map ``<prefix>rest``, which is there if they are.
+    """
+    found = frequent_keys(df, column, columns)
+    keys = sorted(found[:columns])
+    if len(found) <= columns:
+        return flatten_map(df, column, keys, prefix)
+    rest = F.map_filter(column, lambda k, _: ~k.isin(*keys))
+    return flatten_map(df.withColumn(f"{prefix}rest", rest), column, keys, prefix)
 
 
 def explode_map(df: DataFrame, column: str, key: str = "key", value: str = "value") -> DataFrame:
@@ -73,6 +73,16 @@ def explode_map(df: DataFrame, column: str, key: str = "key", value: str = "valu
     return df.select(*[c for c in df.columns if c != column], F.explode(column).alias(key, value))
 
 
-def pivot_entries(df: DataFrame, by: Sequence[str], key: str, value: str, keys: Sequence[str]) -> DataFrame:
-    """Declared entry keys as columns, one row per ``by``; the first value counts."""
-    return df.groupBy(*by).pivot(key, list(keys)).agg(F.first(value, ignorenulls=True))
+def pivot_entries(
+    df: DataFrame, by: Sequence[str], key: str, value: str, keys: Sequence[str], rest: str = "rest"
+) -> DataFrame:
+    """Declared entry keys as columns, one row per ``by``; other keys together in the map ``rest``.
+
+    Of several values of a key one that is not missing counts.
+    """
+    single = df.groupBy(*by, key).agg(F.first(value, ignorenulls=True).alias("__value"))
+    other = F.when(~F.col(key).isin(*keys), F.struct(F.col(key), F.col("__value")))
+    return single.groupBy(*by).agg(
+        *[F.max(F.when(F.col(key) == k, F.col("__value"))).alias(k) for k in keys],
+        F.map_from_entries(F.array_sort(F.collect_list(other))).alias(rest),
+    )

@@ -6,15 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_ALONE = "__alone"
+
+
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """A value that can be hashed and compared: a map as its sorted entries."""
+    if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+        return F.array_sort(F.map_entries(value))
+    return F.to_json(value) if "map<" in kind.simpleString() else value  # maps inside other values
 
 
 def row_digest(df: DataFrame, leave_out: Sequence[str] = ()) -> Column:
-    """64-bit digest of a row. Maps cannot be hashed; their JSON text can."""
-    parts = [
-        F.to_json(c) if t.startswith(("map", "struct", "array")) else F.col(c)
-        for c, t in df.dtypes
-        if c not in leave_out
-    ]
+    """64-bit digest of a row."""
+    parts = [comparable(F.col(f.name), f.dataType) for f in df.schema.fields if f.name not in leave_out]
     return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
@@ -43,14 +49,17 @@ def newest_per_key(
     if null_keys not in ("append", "collapse", "drop"):
         raise ValueError(f"null_keys: {null_keys}")
     others = [c for c in df.columns if c not in keys]
-    keyed = df if null_keys == "collapse" else df.where(~any_key_null(keys))
     rank = F.struct(*[F.col(c) for c in sequence], row_digest(df, keys))
-    newest = (
-        keyed.groupBy(*keys)
+    grouping = list(keys)
+    if null_keys == "drop":
+        df = df.where(~any_key_null(keys))
+    elif null_keys == "append":
+        # A row without key is a group of its own, so one scan and one aggregate serve both kinds.
+        df = df.withColumn(_ALONE, F.when(any_key_null(keys), F.monotonically_increasing_id()))
+        grouping.append(_ALONE)
+    return (
+        df.groupBy(*grouping)
         .agg(F.max_by(F.struct(*others), rank).alias("__row"))
         .select(*keys, *[F.col("__row")[c].alias(c) for c in others])
-        .select(*df.columns)
+        .select(*[c for c in df.columns if c != _ALONE])
     )
-    if null_keys == "append":
-        return newest.unionByName(df.where(any_key_null(keys)))
-    return newest

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.operators.latest import any_key_null, newest_per_key, row_digest
+from parley.operators.latest import any_key_null, comparable, newest_per_key, row_digest
 
 _FROM = "__from_changes"
 
@@ -85,6 +85,7 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     columns = list(dict.fromkeys([*old.columns, *new.columns]))
     types = {**dict(new.dtypes), **dict(old.dtypes)}
+    kinds = {f.name: f.dataType for f in [*new.schema.fields, *old.schema.fields]}
 
     def image(df: DataFrame, name: str) -> DataFrame:
         parts = [
@@ -92,11 +93,8 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
         ]
         return df.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], F.struct(*parts).alias(name))
 
-    def comparable(name: str) -> Column:
-        # Maps have no equality; their JSON text has.
-        return F.struct(*[
-            F.to_json(F.col(name)[c]) if "map<" in types[c] else F.col(name)[c] for c in columns
-        ])
+    def image_of(name: str) -> Column:
+        return F.struct(*[comparable(F.col(name)[c], kinds[c]) for c in columns])
 
     left, right = image(old, "old"), image(new, "new")
     condition = F.lit(True)
@@ -111,7 +109,7 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
         F.when(F.col("old").isNull(), F.array(change("insert", "new")))
         .when(F.col("new").isNull(), F.array(change("delete", "old")))
         .when(
-            ~comparable("old").eqNullSafe(comparable("new")),
+            ~image_of("old").eqNullSafe(image_of("new")),
             F.array(change("update_preimage", "old"), change("update_postimage", "new")),
         )
     )

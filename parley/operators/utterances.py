@@ -418,24 +418,12 @@ def _in_blocks(utterances: DataFrame) -> DataFrame:
 def merge_passes(numbered: DataFrame) -> DataFrame:
     """The three merging passes over numbered utterances (a stored table).
 
-    Runs longer than a block are rare; they are told apart by their size and
-    go through each pass in blocks, renumbered after every pass.
+    Each pass goes through the runs in blocks, renumbered after every pass, so
+    that a long run is many groups; a short one is a single block.
     """
-    size = 1 << ordered.BLOCK_BITS
-    long_runs = numbered.groupBy(*RUN).count().where(F.col("count") > size).select(*RUN)
-    if long_runs.isEmpty():
-        merged = numbered
-        for merge in PASSES:
-            merged = merge(merged)
-        return merged
-
-    long_runs = stage(long_runs, "long-runs")
-    merged = numbered.join(long_runs, RUN, "left_anti").select(*numbered.columns)
-    rest = numbered.join(long_runs, RUN, "left_semi").select(*numbered.columns)
     for merge in PASSES:
-        merged = merge(merged)
-        rest = stage(merge(_in_blocks(rest)).where(~F.col("edge")).drop("block", "edge"), "long-runs-merged")
-    return merged.unionByName(rest)
+        numbered = stage(merge(_in_blocks(numbered)).where(~F.col("edge")).drop("block", "edge"), "utterances-pass")
+    return numbered
 
 
 def merged_utterances(events: DataFrame) -> DataFrame:

@@ -6,15 +6,19 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions.times import date_window, in_date_range
 from parley.operators import dialogs as d
 from parley.operators.utterances import score_utterances
+from parley.schemas import DAILY_KPI, DIALOG, SCORED_UTTERANCE
 from parley.sources import tables
 from parley.sources.jsonlines import existing_paths
 from parley.staging import stage
 
 DIALOG_KEYS = ("event_date", "conversation_id", "dialog")
+UTTERANCE_KEYS = ("event_date", "conversation_id", "activity_id")
+STORED_UTTERANCE = T.StructType([*SCORED_UTTERANCE.fields, T.StructField("event_date", T.DateType())])
 
 
 def events_of(
@@ -32,19 +36,44 @@ def conversation_events(bot_events: DataFrame, conversation_id: str) -> DataFram
     )
 
 
+def _stored_days(spark: SparkSession, events: DataFrame, path: str, schema: T.StructType) -> DataFrame | None:
+    """Stored rows of the days of ``events``, None if nothing is stored; other days' folders are not read."""
+    if not existing_paths(spark, [path]):
+        return None
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.where(F.col("event_date").between(F.lit(first), F.lit(last)))
+
+
 def save_dialogs(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
-    """Append the dialogs the table does not hold yet; returns them."""
-    known = tables.read_appended(spark, path) if existing_paths(spark, [path]) else None
-    found = stage(d.segment_dialogs(events, known, known_keys=DIALOG_KEYS), "dialogs-new")
+    """Append the dialogs the table does not hold yet; returns them.
+
+    Only the stored days that the events touch are read.
+    """
+    known = _stored_days(spark, events, path, DIALOG)
+    found = d.segment_dialogs(events, known, known_keys=DIALOG_KEYS)
+    found = stage(tables.enforce_schema(found, DIALOG), "dialogs-new")
     found.write.mode("append").partitionBy("event_date").parquet(path)
     return found
 
 
 def dialog_summary(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> DataFrame:
     """KPIs per day for dialogs saved before; reads only the partitions of these days."""
-    return d.daily_kpis(in_date_range(tables.read_appended(spark, path), "event_date", first, last))
+    stored = spark.read.schema(DIALOG).parquet(path)
+    return tables.enforce_schema(d.daily_kpis(in_date_range(stored, "event_date", first, last)), DAILY_KPI)
 
 
-def save_utterances(events: DataFrame, root: str) -> int:
-    """Score the utterances and write them as the next version of the table."""
-    return tables.write_version(score_utterances(events), root)
+def save_utterances(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+    """Score the utterances and append those whose conversation and activity are not stored; returns them.
+
+    The table is partitioned by day; only the stored days that the events touch are read.
+    """
+    known = _stored_days(spark, events, path, STORED_UTTERANCE)
+    scored = tables.enforce_schema(score_utterances(events), SCORED_UTTERANCE).withColumn("event_date", F.to_date("time"))
+    if known is not None:
+        held = known.select(*[F.col(k).alias(f"__{k}") for k in UTTERANCE_KEYS]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in UTTERANCE_KEYS]
+        scored = scored.join(held, same, "left_anti")
+    found = stage(scored, "utterances-new")
+    found.write.mode("append").partitionBy("event_date").parquet(path)
+    return found

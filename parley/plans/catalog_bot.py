@@ -11,9 +11,9 @@ from parley.functions.times import in_date_range
 from parley.operators import dialogs as d
 from parley.operators import utterances as u
 from parley.operators.ordered import minute_slice, position
-from parley.plans.bot_reports import conversation_events
+from parley.plans.bot_reports import conversation_events, save_dialogs, save_utterances
 from parley.sources.bot_events import bot_events_sql, derived_bot_events
-from parley.staging import stage
+from parley.staging import stage, staging_path
 
 
 def bot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +62,19 @@ def dialog_segments(spark, sf_dir):
 
 
 def incremental_new_dialogs(spark, sf_dir):
-    events = scoped_table(spark, sf_dir)
-    found = d.segment_dialogs(events)
-    known = found.where(F.col("start_time") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    return d.new_dialogs(found, known, ["event_date", "conversation_id", "dialog"])
+    """A run over the first half of the month, then one over all of it: what the second adds."""
+    events, path = scoped_table(spark, sf_dir), staging_path(spark, "dialogs")
+    save_dialogs(spark, in_date_range(events, "event_date", dt.date(2000, 1, 1), dt.date(2024, 1, 15)), path)
+    added = save_dialogs(spark, events, path)
+    return added.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+
+
+def incremental_utterances(spark, sf_dir):
+    """Two runs that overlap; the store holds every utterance once."""
+    events, path = scoped_table(spark, sf_dir), staging_path(spark, "utterances")
+    save_utterances(spark, in_date_range(events, "event_date", dt.date(2000, 1, 1), dt.date(2024, 1, 15)), path)
+    save_utterances(spark, events, path)
+    return spark.read.parquet(path).drop("event_date").withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
 def dialog_daily_kpis(spark, sf_dir):
@@ -340,6 +349,7 @@ ORACLES = {
     "lookahead_agent": _AGENT + f" SELECT {_PASS_OUT} FROM p3",
     "agent_span_removal": _SPANS + f" SELECT {_PASS_OUT} FROM p4",
     "utterance_scores": _FINAL + " SELECT * FROM final",
+    "incremental_utterances": _FINAL + " SELECT * FROM final",
     "activity_distinct_count": _FINAL + " SELECT count(DISTINCT activity_id) AS activities FROM final",
 }
 
@@ -349,6 +359,6 @@ QUERIES = {
         event_position, filter_conversation_events, filter_date_range, conversation_id_coalesce, semi_user_instances,
         dialog_segments, incremental_new_dialogs, dialog_daily_kpis, conversation_bounce_stats, activity_first_seen,
         activity_intent, utterance_raw_scores, lookahead_brand, lookahead_agent, agent_span_removal, utterance_scores,
-        activity_distinct_count,
+        activity_distinct_count, incremental_utterances,
     )
 }

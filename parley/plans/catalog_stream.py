@@ -6,22 +6,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators import logs
-from parley.plans.catalog_tables import event_lines, events
-from parley.schemas import PROGRESS_LOG, RAW_EVENT
-from parley.sources.jsonlines import CORRUPT, stream_events
+from parley.plans.catalog_tables import event_lines, events, with_extra
+from parley.schemas import EVENT_HINTS, PROGRESS_LOG, RAW_EVENT
+from parley.sources.jsonlines import CORRUPT, stored_schema, stream_events
 from parley.staging import staging_path
 from parley.streaming import ingest
+from parley.streaming.listener import ProgressLog
 
 KEYS, SEQUENCE = ["UserId", "Name"], ["time"]
 
 
-def _landed(spark: SparkSession, sf_dir: str, files: int, broken: bool = False) -> str:
-    """Event lines in several files, in time order across files."""
+def _landed(spark: SparkSession, sf_dir: str, files: int | None = None, broken: bool = False, extra: bool = False) -> str:
+    """Event lines in several files, in time order across files; as many as there are partitions unless told."""
     path = staging_path(spark, "stream-landing")
-    lines = event_lines(spark, sf_dir)
+    lines = with_extra(event_lines(spark, sf_dir)) if extra else event_lines(spark, sf_dir)
     if broken:
         lines = lines.withColumn("value", F.when(F.second("ts") < 20, F.substr("value", F.lit(1), F.lit(40))).otherwise(F.col("value")))
-    lines.repartitionByRange(files, "ts").select("value").write.text(path)
+    ranged = lines.repartitionByRange(files, "ts") if files else lines.repartitionByRange("ts")
+    ranged.select("value").write.text(path)
     return path
 
 
@@ -33,7 +35,7 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def stream_file_ingest(spark, sf_dir):
-    source, target = _landed(spark, sf_dir, 4), staging_path(spark, "bronze")
+    source, target = _landed(spark, sf_dir), staging_path(spark, "bronze")
     ingest.start_append(stream_events(spark, source, RAW_EVENT), target, f"{target}-checkpoint").awaitTermination()
     return _out(spark.read.parquet(target))
 
@@ -48,24 +50,73 @@ def stream_upsert_latest(spark, sf_dir):
 
 
 def stream_observe(spark, sf_dir):
-    """Rows and rejected rows as the progress reports count them."""
+    """Rows and rejected rows over all batches."""
     source, root = _landed(spark, sf_dir, 4, broken=True), staging_path(spark, "observed")
     stream = ingest.observed(stream_events(spark, source, RAW_EVENT, max_files_per_trigger=2))
-    query = ingest.start_upsert(stream, root, KEYS, SEQUENCE)
-    query.awaitTermination()
-    figures = [p.observedMetrics["metric"] for p in query.recentProgress if "metric" in p.observedMetrics]
-    return spark.range(1).select(
-        F.lit(sum(f["cnt"] for f in figures)).cast("bigint").alias("cnt"),
-        F.lit(sum(f["malformed"] for f in figures)).cast("bigint").alias("malformed"),
-    )
+    ingest.start_upsert(stream, root, KEYS, SEQUENCE).awaitTermination()
+    return ingest.read_figures(spark, root).agg(F.sum("cnt").alias("cnt"), F.sum("malformed").alias("malformed"))
 
 
 def stream_file_audit(spark, sf_dir):
-    """Files of a stored stream, from a second stream over it."""
-    source, bronze, target = _landed(spark, sf_dir, 4), staging_path(spark, "bronze"), staging_path(spark, "files")
+    """Files of a stored stream, from a second stream over it: one per day's folder."""
+    source, bronze, target = (staging_path(spark, x) for x in ("stream-landing", "bronze", "files"))
+    days = event_lines(spark, sf_dir).select("value", F.to_date("ts").alias("day"))
+    days.repartition("day").write.partitionBy("day").text(source)
     ingest.start_append(stream_events(spark, source, RAW_EVENT), bronze, f"{bronze}-checkpoint").awaitTermination()
     ingest.start_file_audit(spark, bronze, target).awaitTermination()
-    return spark.read.parquet(f"{target}/files").select("file_name", "file_creation_time", "file_commit_time")
+    named = ingest.read_file_audit(spark, target).where("file_creation_time <= file_commit_time")
+    return named.groupBy(F.regexp_extract("file_path", "day=([0-9-]+)", 1).alias("day")).agg(F.count(F.lit(1)).alias("files"))
+
+
+def stream_history(spark, sf_dir):
+    """Days by the batches and files that brought them: one file per day and batch."""
+    source, root = staging_path(spark, "stream-landing"), staging_path(spark, "history")
+    days = event_lines(spark, sf_dir).select("value", F.to_date("ts").alias("day"))
+    days.repartition("day").write.partitionBy("day").text(source)
+    stream = stream_events(spark, source, RAW_EVENT, max_files_per_trigger=8)
+    ingest.start_upsert(stream, root, ["UserId", "Name", "time"], SEQUENCE).awaitTermination()
+    told = ingest.history(spark, root)
+    return told.agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("files_read").alias("files"), F.sum("rows_written").alias("rows_written"),
+        F.max("files_read").alias("most_files"),
+    )
+
+
+def stream_schema_evolution(spark, sf_dir):
+    """Two runs of one stream; the second finds a new field and has it as a column."""
+    source, root, store = (staging_path(spark, x) for x in ("evolving", "evolved", "schemas"))
+    lines = event_lines(spark, sf_dir)
+    late = F.to_date("ts") >= "2024-01-16"
+    for number, part in enumerate((lines.where(~late), with_extra(lines.where(late)))):
+        part.select("value").write.text(f"{source}/part={number}")
+        schema = stored_schema(spark, source, store, EVENT_HINTS)
+        ingest.start_upsert(stream_events(spark, source, schema), root, ["ItemCount"], SEQUENCE).awaitTermination()
+    rows = ingest.read_current(spark, root, ["ItemCount"], SEQUENCE)
+    return rows.select(F.col("ItemCount").alias("item_count"), F.col("Name").alias("name"), F.col("Extra").alias("extra"), CORRUPT)
+
+
+def stream_rescued_fields(spark, sf_dir):
+    """A stream with a fixed schema keeps the fields outside it as JSON."""
+    source, root = _landed(spark, sf_dir, extra=True), staging_path(spark, "rescued")
+    ingest.start_append(stream_events(spark, source, RAW_EVENT), root, f"{root}-checkpoint").awaitTermination()
+    return spark.read.parquet(root).select(F.col("ItemCount").alias("item_count"), F.col("UserId").alias("user_id"), CORRUPT)
+
+
+def listener_log(spark, sf_dir):
+    """Rows per status in the log that the listener keeps of one query."""
+    source, root, folder = _landed(spark, sf_dir, 4), staging_path(spark, "listened"), staging_path(spark, "listener-log")
+    listener = ProgressLog(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        stream = stream_events(spark, source, RAW_EVENT, max_files_per_trigger=1)
+        query = ingest.start_upsert(stream, root, KEYS, SEQUENCE, query_name="logged")
+        query.awaitTermination()
+        listener.wait_for_end(query.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    raw = spark.read.schema(PROGRESS_LOG).json(folder).select("*", "_metadata")
+    parsed = logs.parse_progress(raw, F.col("_metadata.file_path")).where(F.col("run_id") == str(query.runId))
+    return parsed.groupBy("status").agg(F.coalesce(F.sum("num_input_rows"), F.lit(0)).alias("input_rows"))
 
 
 def observe_counts(spark, sf_dir):
@@ -149,6 +200,15 @@ ORACLES = {
     "stream_file_ingest": _RAW,
     "stream_upsert_latest": _RAW + " QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1",
     "stream_observe": "SELECT count(*) AS cnt, count(*) FILTER (WHERE second(ts) < 20) AS malformed FROM events",
+    "stream_file_audit": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(1 AS BIGINT) AS files FROM events GROUP BY 1",
+    "stream_history": """SELECT CAST(ceil(count(DISTINCT CAST(ts AS DATE)) / 8.0) AS BIGINT) AS batches, count(DISTINCT CAST(ts AS DATE)) AS files,
+        count(DISTINCT (user_id, event_type, ts)) AS rows_written, least(8, count(DISTINCT CAST(ts AS DATE))) AS most_files FROM events""",
+    "stream_schema_evolution": """SELECT event_id AS item_count, event_type AS name, CASE WHEN second(ts) < 20 AND CAST(ts AS DATE) >= DATE '2024-01-16'
+        THEN concat('x', CAST(second(ts) AS VARCHAR)) END AS extra, CAST(NULL AS VARCHAR) AS _rescued_data FROM events""",
+    "stream_rescued_fields": """SELECT CAST(event_id AS INTEGER) AS item_count, concat('u', CAST(user_id AS VARCHAR)) AS user_id,
+        CASE WHEN second(ts) < 20 THEN concat('{"Extra":"x', CAST(second(ts) AS VARCHAR), '"}') END AS _rescued_data FROM events""",
+    "listener_log": """SELECT unnest(['STREAM_STARTED', 'STREAM_UPDATED', 'STREAM_TERMINATED']) AS status,
+        unnest([CAST(0 AS BIGINT), count(*), CAST(0 AS BIGINT)]) AS input_rows FROM events""",
     "observe_counts": "SELECT count(*) AS cnt, count(*) FILTER (WHERE second(ts) < 20) AS malformed FROM events",
     "event_log_flows": """SELECT concat('ds', CAST(user_id AS VARCHAR)) AS output_dataset, concat('["in_', event_type, '"]') AS input_datasets,
         'COMPLETE' AS flow_type, concat('{"rows":', CAST(event_id AS VARCHAR), '}') AS schema,
@@ -174,4 +234,4 @@ ORACLES = {
         CASE WHEN event_type = 'error' THEN 'boom' END AS termination_exception FROM events""",
 }
 
-QUERIES = {name: globals()[name] for name in [*ORACLES, "stream_file_audit"]}
+QUERIES = {name: globals()[name] for name in ORACLES}

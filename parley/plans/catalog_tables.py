@@ -84,22 +84,25 @@ def cdc_scd1(spark, sf_dir):
     return ups.upsert(newest_per_key(late, KEY, ["ts", "event_id"]), early, KEY, ["ts", "event_id"], guard=True)
 
 
+def _sides(spark, sf_dir):
+    """Two tables that hold every event between them: all views only in the first, all clicks only in the second."""
+    rows = events(spark, sf_dir)
+    old = rows.where("event_type = 'view' OR event_type <> 'click' AND to_date(ts) <= DATE '2024-01-20'")
+    new = rows.where("event_type = 'click' OR event_type <> 'view' AND to_date(ts) >= DATE '2024-01-11'")
+    return newest_per_key(old, KEY, ["ts", "event_id"]), newest_per_key(new, KEY, ["ts", "event_id"])
+
+
 def upsert_partial(spark, sf_dir):
-    target, changes = _parts(spark, sf_dir)
-    newest = newest_per_key(changes.where("event_type <> 'view'"), KEY, ["ts", "event_id"])
-    stored = newest_per_key(target.where("event_type <> 'click'"), KEY, ["ts", "event_id"])
+    stored, newest = _sides(spark, sf_dir)
     return ups.upsert_partial(stored, newest, KEY, ["value", "props"])
 
 
 def table_diff(spark, sf_dir):
-    target, changes = _parts(spark, sf_dir)
-    old = newest_per_key(target.where("event_type <> 'click'"), KEY, ["ts", "event_id"])
-    new = newest_per_key(changes.where("event_type <> 'view'"), KEY, ["ts", "event_id"])
-    return ups.table_diff(old, new, KEY)
+    return ups.table_diff(*_sides(spark, sf_dir), KEY)
 
 
 def cluster_by_time(spark, sf_dir):
-    return stage(ups.cluster_by(events(spark, sf_dir), "ts", 8), "clustered")
+    return stage(ups.cluster_by(events(spark, sf_dir), "ts"), "clustered")
 
 
 def snapshot_roundtrip(spark, sf_dir):
@@ -118,6 +121,12 @@ WITH tg AS (SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'), c
 tn AS (SELECT * FROM tg QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
 cn AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)"""
 
+_SIDES = """
+WITH o AS (SELECT * FROM events WHERE event_type = 'view' OR event_type <> 'click' AND CAST(ts AS DATE) <= DATE '2024-01-20'
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
+n AS (SELECT * FROM events WHERE event_type = 'click' OR event_type <> 'view' AND CAST(ts AS DATE) >= DATE '2024-01-11'
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)"""
+
 # --- JSON, maps, text -----------------------------------------------------
 
 
@@ -175,7 +184,8 @@ def props_project(spark, sf_dir):
 
 def pivot_properties(spark, sf_dir):
     entries = c.explode_map(_with_properties(spark, sf_dir), "properties")
-    return c.pivot_entries(entries, ["event_id"], "key", "value", ["k", "on_click", "on_view"])
+    wide = c.pivot_entries(entries, ["event_id"], "key", "value", ["k", "on_click", "on_view"])
+    return wide.withColumn("rest", F.when(F.size("rest") > 0, F.to_json("rest")))
 
 
 _PROPS = """
@@ -232,15 +242,24 @@ def event_lines(spark, sf_dir):
     )
 
 
-def landed_lines(spark, sf_dir, twice: bool = False) -> str:
-    """JSON lines in hour folders (a landing every six hours); returns the folder."""
+def with_extra(lines: DataFrame) -> DataFrame:
+    """A field nobody declared in a third of the lines."""
+    second = F.second("ts")
+    extended = F.concat(F.regexp_replace("value", r"\}$", ""), F.lit(', "Extra": "x'), second.cast("string"), F.lit('"}'))
+    return lines.withColumn("value", F.when(second < 20, extended).otherwise(F.col("value")))
+
+
+def landed_lines(spark, sf_dir, twice: bool = False, extra: bool = False) -> str:
+    """JSON lines in hour folders; returns the folder."""
     lines = event_lines(spark, sf_dir)
+    if extra:
+        lines = with_extra(lines)
     if twice:
         lines = lines.unionByName(lines)
     path = staging_path(spark, "landing")
     lines.select(
         "value", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m"),
-        F.date_format("ts", "dd").alias("d"), F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0").alias("h"),
+        F.date_format("ts", "dd").alias("d"), F.date_format("ts", "HH").alias("h"),
     ).write.partitionBy("y", "m", "d", "h").text(path)
     return path
 
@@ -256,6 +275,15 @@ def jsonl_text_parse(spark, sf_dir):
     )
 
 
+def ingest_all_fields(spark, sf_dir):
+    """Declared fields as columns, the others in ``rest``: no field of a line is lost."""
+    good, _ = split_rejects(parse_lines(read_lines(spark, landed_lines(spark, sf_dir, extra=True)), ["time", "Name", "Properties"]))
+    return good.select(
+        F.col("Name").alias("name"), F.col("Properties")["k"].alias("k"), F.col("rest")["UserId"].alias("user_id"),
+        F.col("rest")["ItemCount"].alias("item_count"), F.col("rest")["Extra"].alias("extra"), F.size("rest").alias("others"),
+    )
+
+
 def ingest_distinct_lines(spark, sf_dir):
     lines = event_lines(spark, sf_dir).select("value")
     return lines.unionByName(lines).dropDuplicates()
@@ -288,7 +316,7 @@ def audit_latest_version(spark, sf_dir):
 _LINES = """
 WITH ln AS (SELECT ts, user_id, event_id, event_type, props, concat('{"time": "', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '0Z", "Name": "', event_type,
   '", "UserId": "u', CAST(user_id AS VARCHAR), '", "ItemCount": ', CAST(event_id AS VARCHAR), ', "Properties": ', props, '}') AS value,
-  strftime(ts, '%Y-%m-%d') AS day, lpad(CAST(floor(hour(ts) / 6)::INTEGER * 6 AS VARCHAR), 2, '0') AS h FROM events)"""
+  strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS h FROM events)"""
 
 # --- quality and schemas --------------------------------------------------
 
@@ -367,13 +395,11 @@ ORACLES = {
         SELECT * FROM cn WHERE NOT EXISTS (SELECT 1 FROM tn WHERE cn.user_id = tn.user_id AND cn.event_type = tn.event_type)""",
     "cdc_scd1": """SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
-    "upsert_partial": _LATEST + """,
-        o AS (SELECT * FROM tn WHERE event_type <> 'click'), n AS (SELECT * FROM cn WHERE event_type <> 'view')
+    "upsert_partial": _SIDES + """
         SELECT coalesce(o.event_id, n.event_id) AS event_id, coalesce(o.ts, n.ts) AS ts, coalesce(o.user_id, n.user_id) AS user_id,
           coalesce(o.event_type, n.event_type) AS event_type, coalesce(n.value, o.value) AS value, coalesce(n.props, o.props) AS props
         FROM o FULL JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_type""",
-    "table_diff": _LATEST + """,
-        o AS (SELECT * FROM tn WHERE event_type <> 'click'), n AS (SELECT * FROM cn WHERE event_type <> 'view'),
+    "table_diff": _SIDES + """,
         j AS (SELECT o.event_id AS oid, n.event_id AS nid FROM o FULL JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_type)
         SELECT e.*, 'insert' AS _change_type FROM j JOIN events e ON e.event_id = j.nid WHERE oid IS NULL UNION ALL
         SELECT e.*, 'delete' FROM j JOIN events e ON e.event_id = j.oid WHERE nid IS NULL UNION ALL
@@ -393,7 +419,8 @@ ORACLES = {
     "props_project": _PROPS + """ SELECT event_id, k, CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS clicked_by,
         CAST(NULL AS VARCHAR) AS nothing FROM pr""",
     "pivot_properties": _PROPS + """ SELECT event_id, k, CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS on_click,
-        CASE WHEN event_type = 'view' THEN CAST(user_id AS VARCHAR) END AS on_view FROM pr""",
+        CASE WHEN event_type = 'view' THEN CAST(user_id AS VARCHAR) END AS on_view,
+        CASE WHEN event_type NOT IN ('click', 'view') THEN concat('{"on_', event_type, '":"', CAST(user_id AS VARCHAR), '"}') END AS rest FROM pr""",
     "regex_extract_int": "SELECT page_id, TRY_CAST(regexp_extract(url, 'page=([0-9]+)', 1) AS INTEGER) AS page FROM pages",
     "md5_row_key": "SELECT event_id, md5(props) AS line_md5 FROM events",
     "path_partition_key": """SELECT event_id, strftime(ts, '%Y%m%d%H') || '00' AS partition_key,
@@ -406,6 +433,9 @@ ORACLES = {
     "jsonl_text_parse": _LINES + """ SELECT md5(value) AS line_md5, replace(day, '-', '') || h || '00' AS partition_key,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '0Z' AS time, event_type AS name, concat('u', CAST(user_id AS VARCHAR)) AS user_id,
         CAST(event_id AS VARCHAR) AS item_count, regexp_extract(props, '"k": ([0-9]+)', 1) AS k FROM ln""",
+    "ingest_all_fields": """SELECT event_type AS name, regexp_extract(props, '"k": ([0-9]+)', 1) AS k, concat('u', CAST(user_id AS VARCHAR)) AS user_id,
+        CAST(event_id AS VARCHAR) AS item_count, CASE WHEN second(ts) < 20 THEN concat('x', CAST(second(ts) AS VARCHAR)) END AS extra,
+        CAST(CASE WHEN second(ts) < 20 THEN 3 ELSE 2 END AS INTEGER) AS others FROM events""",
     "ingest_distinct_lines": _LINES + " SELECT DISTINCT value FROM ln",
     "ingest_high_watermark": "SELECT max(strftime(ts, '%Y-%m-%d:%H')) AS high_watermark FROM events",
     "file_audit_log": _LINES + """ SELECT DISTINCT day || ':' || h AS source_folder, (SELECT count(*) FROM events) AS total_records_read,

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from parley.functions.text import json_to_map, line_key, partition_key
 from parley.functions.times import ZONE, hourly_suffixes
 from parley.operators.audit import file_audit, high_watermark
+from parley.schemas import FILE_AUDIT
 from parley.sources import tables
 from parley.sources.jsonlines import existing_paths, read_lines
+from parley.staging import stage
 from parley.streaming.ingest import read_current
 
 KEYS = ["line_md5", "partition_key"]
 
 
 def parse_lines(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Distinct lines as columns: key, folder, declared fields, nested maps.
+    """Distinct lines as columns: key, folder, declared fields, nested maps, and all other fields in the map ``rest``.
 
     One row per line text and hour folder, also when several files of the
     folder repeat the line. Lines that are not a JSON object have a missing
@@ -39,6 +41,7 @@ def parse_lines(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
             json_to_map(F.col("parsed")[f]).alias(f) if f in nested else F.col("parsed")[f].alias(f)
             for f in fields
         ],
+        F.map_filter("parsed", lambda k, _: ~k.isin(*fields)).alias("rest"),
     )
 
 
@@ -77,30 +80,37 @@ def run_hourly_ingest(
     """Read the hours after ``start`` up to ``end`` and upsert them; returns the version.
 
     The cost grows with these hours, not with the table: the load becomes a
-    change folder, and :func:`read_bronze` resolves lines stored before. A run
-    repeated after a failure therefore does no harm. Without any folder for
-    these hours nothing is written.
+    change folder, and :func:`read_bronze` resolves lines stored before. The
+    text is read once, into a staged table of distinct parsed lines and of files.
+
+    Stored rows, rejects and audit all go to ``batch_id=N``, the audit last; N
+    follows the last complete audit. A run repeated after a failure uses the
+    same N and replaces what the failed one left. Without any folder for these
+    hours nothing is written.
     """
     suffixes = [r[0] for r in hourly_suffixes(spark, start, end).collect()]
     folders = existing_paths(spark, [f"{source}/{s}" for s in suffixes])
     if not folders:
         return None
 
-    lines = read_lines(spark, folders)
-    read = Observation("lines_read")
-    good, bad = split_rejects(parse_lines(lines.observe(read, F.count(F.lit(1)).alias("count")), fields))
+    done = tables.versions(spark, audit_path, "batch_id")
+    version = done[-1] + 1 if done else 0
+    # The struct of the file travels with the text; a second read of it costs columns, not text.
+    lines = stage(read_lines(spark, folders).select("value", F.col("_metadata").alias("file")), "hourly-lines")
+    lines = lines.select("value", F.col("file").alias("_metadata"))
+    parsed = stage(parse_lines(lines, fields), "hourly-parsed")
+    good, bad = split_rejects(parsed)
 
-    version = tables.next_version(spark, f"{table}/changes", "batch_id")
     stored = Observation("rows_stored")
-    good.observe(stored, F.count(F.lit(1)).alias("count")).write.partitionBy("partition_key").parquet(
-        f"{table}/changes/batch_id={version}"
-    )
-    tables.append(bad, rejects_path)
+    good.observe(stored, F.count(F.lit(1)).alias("count")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("partition_key").parquet(f"{table}/changes/batch_id={version}")
+    bad.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={version}")
 
     audit = file_audit(
-        lines, read.get["count"], version, "MERGE" if version else "CREATE", {"numOutputRows": stored.get["count"]}
+        lines, lines.count(), version, "MERGE" if version else "CREATE", {"numOutputRows": stored.get["count"]}
     )
-    tables.append(audit, audit_path)
+    tables.enforce_schema(audit, FILE_AUDIT).write.mode("overwrite").parquet(f"{audit_path}/batch_id={version}")
     return version
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.functions.text import json_to_map
+from parley.sources.tables import next_version, versions
+
 CORRUPT = "_rescued_data"
 
 
@@ -71,32 +74,58 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(spark.read.text(path).head()[0]))
 
 
+def stored_schema(spark: SparkSession, path: str, store: str, hints: str = "", sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema of a source that may gain columns.
+
+    The newest schema kept below ``store`` plus the fields that the files of
+    ``path`` add to it; a changed schema is kept as the next version. Columns
+    found by one run are there in the next; known types stay.
+    """
+    known = versions(spark, store)
+    schema = infer_schema(spark, path, hints, sampling_ratio)
+    if known:
+        old = load_schema(spark, f"{store}/version={known[-1]}")
+        schema = evolve_schema(old, schema)
+        if schema == old:
+            return old
+    save_schema(spark, schema, f"{store}/version={next_version(spark, store)}")
+    return schema
+
+
+def parse_events(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of ``schema`` from JSON text in ``value``; other columns stay.
+
+    ``_rescued_data`` holds what these fields cannot: the whole text if it is
+    not an object or a value has a wrong type, else the undeclared fields as a
+    JSON object. Names match exactly. Blank lines are no events.
+    """
+    wanted = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    names = [f.name for f in schema.fields]
+    others = [c for c in lines.columns if c != "value"]
+    parsed = lines.where(F.trim("value") != "").withColumns({
+        "__event": F.from_json("value", wanted, options),
+        "__rest": F.map_filter(json_to_map("value"), lambda k, _: ~k.isin(*names)),
+    })
+    rescued = F.coalesce(F.col("__event")[CORRUPT], F.when(F.size("__rest") > 0, F.to_json("__rest")))
+    return parsed.select(*[F.col("__event")[n].alias(n) for n in names], rescued.alias(CORRUPT), *others)
+
+
 def read_events(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """JSON events; lines that do not fit keep their text in ``_rescued_data``."""
-    return (
-        spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .json(path)
-        .select("*", "_metadata")
-    )
+    """JSON events of files with ``_rescued_data`` (see :func:`parse_events`) and ``_metadata``."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return parse_events(spark.read.option("recursiveFileLookup", True).text(paths).select("value", "_metadata"), schema)
 
 
 def stream_events(
-    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1000
 ) -> DataFrame:
-    """JSON files below ``path`` as a stream; ``_metadata`` also as ``row_created_metadata``."""
-    reader = (
-        spark.readStream.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).select("*", "_metadata", F.col("_metadata").alias("row_created_metadata"))
+    """JSON files below ``path`` as a stream; ``_metadata`` also as ``row_created_metadata``.
 
-
-def malformed(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNotNull())
+    The source is text, so a schema that has grown continues the same checkpoint.
+    """
+    lines = (
+        spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+        .select("value", "_metadata", F.col("_metadata").alias("row_created_metadata"))
+    )
+    return parse_events(lines, schema)

@@ -30,11 +30,14 @@ from parley.sources.tables import versions
 def apply_batch(
     batch: DataFrame, batch_id: int, root: str, keys: Sequence[str], sequence: Sequence[str], null_keys: str = "append"
 ) -> None:
-    """Write one micro-batch: newest rows, then the files they came from."""
+    """Write one micro-batch: newest rows, its figures, then the files they came from."""
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         newest = newest_per_key(batch, keys, sequence, null_keys)
         newest.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
+        malformed = F.count(CORRUPT) if CORRUPT in batch.columns else F.lit(0).cast("bigint")
+        figures = batch.agg(F.count(F.lit(1)).alias("cnt"), malformed.alias("malformed"))
+        figures.write.mode("overwrite").parquet(f"{root}/figures/batch_id={batch_id}")
         if "_metadata" in batch.columns:
             batch_file_audit(batch, batch_id).write.mode("overwrite").parquet(f"{root}/audit/batch_id={batch_id}")
     finally:
@@ -49,6 +52,14 @@ def observed(stream: DataFrame, name: str = "metric") -> DataFrame:
     return stream.observe(name, *figures)
 
 
+def read_figures(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and rejected rows of every batch, however many there were.
+
+    The progress reports that a query keeps are the last hundred only; these are stored.
+    """
+    return spark.read.option("basePath", f"{root}/figures").parquet(f"{root}/figures")
+
+
 def start_upsert(
     stream: DataFrame,
     root: str,
@@ -73,15 +84,18 @@ def start_upsert(
 def read_changes(
     spark: SparkSession, root: str, after: int = -1, upto: int | None = None, schema: StructType | None = None
 ) -> DataFrame:
-    """Change rows with their ``batch_id``; folders outside the range are pruned.
+    """Change rows with their ``batch_id``.
 
-    Without ``schema`` the schemas of all files are merged, which reads every
-    footer; give it when there are many batches.
+    Only complete folders inside the range are listed and read, so folders
+    that a base has taken in cost nothing. Without ``schema`` the schemas of
+    these folders' files are merged; give it when they are many.
     """
+    wanted = [n for n in versions(spark, f"{root}/changes", "batch_id") if n > after and (upto is None or n <= upto)]
+    if not wanted:
+        raise FileNotFoundError(f"no complete change folder below {root} in the range")
     reader = spark.read.option("basePath", f"{root}/changes")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
-    changes = reader.parquet(f"{root}/changes").where(F.col("batch_id") > after)
-    return changes.where(F.col("batch_id") <= upto) if upto is not None else changes
+    return reader.parquet(*[f"{root}/changes/batch_id={n}" for n in wanted])
 
 
 def read_current(
@@ -102,6 +116,9 @@ def read_current(
     folded = [v for v in versions(spark, f"{root}/base") if upto is None or v <= upto]
     if folded:
         base = spark.read.parquet(f"{root}/base/version={folded[-1]}")
+        later = [n for n in versions(spark, f"{root}/changes", "batch_id") if n > folded[-1] and (upto is None or n <= upto)]
+        if not later:
+            return base  # one row per key already
         rows = base.unionByName(read_changes(spark, root, folded[-1], upto, schema), allowMissingColumns=True)
     else:
         rows = read_changes(spark, root, upto=upto, schema=schema)
@@ -146,6 +163,7 @@ def start_file_audit(spark: SparkSession, bronze: str, target: str, processing_t
     """
     schema = spark.read.parquet(bronze).schema
     rows = spark.readStream.schema(schema).parquet(bronze).select(
+        F.col("row_created_metadata.file_path").alias("file_path"),
         F.col("row_created_metadata.file_name").alias("file_name"),
         F.col("row_created_metadata.file_modification_time").alias("file_creation_time"),
     )
@@ -160,15 +178,25 @@ def start_file_audit(spark: SparkSession, bronze: str, target: str, processing_t
     return writer.start()
 
 
-def start_append(stream: DataFrame, target: str, checkpoint: str, query_name: str | None = None) -> StreamingQuery:
-    """Store a stream unchanged as Parquet, exactly once."""
+def read_file_audit(spark: SparkSession, target: str) -> DataFrame:
+    """One row per file, with its first commit: a file whose rows reached several batches is listed by each."""
+    listed = spark.read.option("basePath", f"{target}/files").parquet(f"{target}/files")
+    return listed.groupBy("file_path", "file_name").agg(
+        F.min("file_creation_time").alias("file_creation_time"), F.min("file_commit_time").alias("file_commit_time")
+    )
+
+
+def start_append(
+    stream: DataFrame, target: str, checkpoint: str, query_name: str | None = None, processing_time: str | None = None
+) -> StreamingQuery:
+    """Store a stream unchanged as Parquet, exactly once: all that is there now, or on a timer."""
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
     )
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     if query_name:
         writer = writer.queryName(query_name)
     return writer.start()

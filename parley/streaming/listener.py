@@ -24,6 +24,7 @@ class ProgressLog(StreamingQueryListener):
         self._lines: list[str] = []
         self._written = dt.datetime.now(dt.timezone.utc)
         self._lock = threading.Lock()
+        self._ended: dict[str, threading.Event] = {}
 
     def _add(self, status: str, **fields) -> None:
         now = dt.datetime.now(dt.timezone.utc).isoformat()
@@ -57,3 +58,12 @@ class ProgressLog(StreamingQueryListener):
             STREAM_ID=str(event.id), RUN_ID=str(event.runId), TERMINATION_EXCEPTION=event.exception,
         )
         self.flush()
+        self._end_of(str(event.runId)).set()
+
+    def _end_of(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run_id, threading.Event())
+
+    def wait_for_end(self, run_id, seconds: float = 60.0) -> bool:
+        """Wait until the run's end is in the folder; events arrive some time after the query's end."""
+        return self._end_of(str(run_id)).wait(seconds)

@@ -6,6 +6,8 @@ import os
 import tempfile
 import time
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from parley.operators import dialogs, logs, utterances
@@ -65,6 +67,60 @@ def test_hourly_ingest(spark):
     assert start == dt.datetime(2022, 11, 10, 2)
 
 
+def test_undeclared_fields_are_kept(spark, tmp_path):
+    one, two = _event("1", "2022-11-10T02:10:00Z"), _event("2", "2022-11-10T02:10:00Z", Fresh={"deep": 1}, Other="o")
+    _write(f"{tmp_path}/y=2022/m=11/d=10/h=02/m=00", "a.json", [one, two, "", "[broken"])
+    rows = {r.OperationId: r for r in jsonlines.read_events(spark, str(tmp_path), RAW_EVENT).collect()}
+    assert rows["1"]._rescued_data is None and json.loads(rows["2"]._rescued_data) == {"Fresh": '{"deep":1}', "Other": "o"}
+    assert rows[None]._rescued_data == "[broken" and len(rows) == 3
+    store = f"{tmp_path}-schemas"
+    first = jsonlines.stored_schema(spark, str(tmp_path), store, EVENT_HINTS)
+    _write(f"{tmp_path}/y=2022/m=11/d=10/h=03/m=00", "b.json", [_event("3", "2022-11-10T03:10:00Z", Newest=1)])
+    second = jsonlines.stored_schema(spark, str(tmp_path), store, EVENT_HINTS)
+    assert second.fields[: len(first.fields)] == first.fields and second.fieldNames()[-1] == "Newest"
+    assert jsonlines.stored_schema(spark, str(tmp_path), store, EVENT_HINTS) == second and tables.versions(spark, store) == [0, 1]
+
+
+@pytest.mark.parametrize("fails_at", [1, 2, 3])
+def test_hourly_ingest_repeats_after_a_failure(spark, tmp_path, monkeypatch, fails_at):
+    """The run fails after each of its writes; the next one leaves no doubled rows."""
+    source, table, audit, rejects = (f"{tmp_path}/{x}" for x in ("source", "bronze", "audit", "rejects"))
+    _write(f"{source}/y=2022/m=11/d=10/h=02/m=00", "a.json", [_event("1", "2022-11-10T02:10:00Z"), "bad"])
+    run = lambda: h.run_hourly_ingest(
+        spark, source, table, audit, rejects, ["time", "OperationId"], dt.datetime(2022, 11, 10, 1), dt.datetime(2022, 11, 10, 2))
+    write, written = DataFrameWriter.parquet, []
+
+    def failing(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        if "batch_id=" in path:
+            written.append(path)
+            if len(written) == fails_at:
+                raise OSError("lost")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(OSError):
+        run()
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    run()
+    assert h.read_bronze(spark, table).count() == 1
+    # A failure after the last write leaves a complete load; repeating it is a second load of the same lines.
+    loads = 2 if fails_at == 3 else 1
+    assert spark.read.parquet(rejects).count() == spark.read.parquet(audit).count() == loads
+    assert tables.versions(spark, audit, "batch_id") == list(range(loads))
+
+
+def test_figures_cover_more_batches_than_the_query_keeps(spark, tmp_path):
+    root, source = f"{tmp_path}/root", f"{tmp_path}/source"
+    for i in range(105):
+        _write(source, f"{i}.json", [_event(str(i), "2022-11-10T02:10:00Z"), "bad"][: 1 + i % 2])
+    stream = jsonlines.stream_events(spark, source, RAW_EVENT, max_files_per_trigger=1)
+    ingest.start_upsert(stream, root, ["OperationId"], ["time"]).awaitTermination()
+    told = ingest.read_figures(spark, root).groupBy().sum("cnt", "malformed").first()
+    assert tuple(told) == (157, 52)
+    history = ingest.history(spark, root)
+    assert history.count() == 105 and history.groupBy().sum("rows_written", "files_read").first()[:] == (157, 105)
+
+
 def test_stream_upsert_late_rows_restart_and_rejects(spark):
     root, source = tempfile.mkdtemp(), tempfile.mkdtemp()
     day = f"{source}/10/05"
@@ -83,6 +139,7 @@ def test_stream_upsert_late_rows_restart_and_rejects(spark):
     first = run()
     seen = [p.observedMetrics["metric"] for p in first.recentProgress if "metric" in p.observedMetrics]
     assert sum(m["cnt"] for m in seen) == 6 and sum(m["malformed"] for m in seen) == 2
+    assert tuple(ingest.read_figures(spark, root).groupBy().sum("cnt", "malformed").first()) == (6, 2)
     read = lambda **kw: {
         (r.OperationId, r.time, r.ItemCount) for r in ingest.read_current(spark, root, ["OperationId"], ["time"], **kw).collect()
     }

@@ -71,7 +71,11 @@ def test_bot_reports_are_incremental(spark):
     assert "PartitionFilters: [isnotnull(event_date" in summary._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert bot_reports.save_utterances(day(1), staging_path(spark, "scored")) == 0
+    scored = staging_path(spark, "scored")
+    first = bot_reports.save_utterances(spark, day(1), scored).count()
+    assert first > 0 and bot_reports.save_utterances(spark, day(1), scored).count() == 0
+    second = bot_reports.save_utterances(spark, day(2), scored).count()
+    assert spark.read.parquet(scored).count() == first + second
 
 
 def test_kpis_of_a_day_where_all_left(spark):

@@ -7,7 +7,7 @@ from parley.operators.latest import newest_per_key
 from parley.operators.upsert import cluster_by, table_diff, upsert, upsert_partial
 from parley.schemas import CLIENT_TYPE_DISTRIBUTION
 from parley.sources import jsonlines, tables
-from parley.functions.columns import map_key_set, select_paths
+from parley.functions.columns import flatten_map_dynamic, pivot_entries, select_paths
 from parley.staging import staging_path, staging_root
 
 
@@ -132,10 +132,26 @@ def test_paths_ignore_case_and_absent_columns(spark):
     assert tuple(row) == ("v", 1, 2, None, None)
 
 
-def test_too_many_map_keys_are_refused(spark):
-    df = spark.range(20).select(F.create_map(F.col("id").cast("string"), F.lit(1)).alias("m"))
-    with pytest.raises(ValueError):
-        map_key_set(df, "m", limit=10)
+def test_rare_map_keys_stay_in_a_map(spark):
+    df = spark.range(20).select("id", F.create_map(F.lit("all"), F.lit(1), F.col("id").cast("string"), F.lit(2)).alias("m"))
+    wide = flatten_map_dynamic(df, "m", "m_", columns=3)
+    assert wide.columns == ["id", "m_rest", "m_0", "m_1", "m_all"]
+    rows = {r.id: r for r in wide.collect()}
+    assert rows[0].m_rest == {} and rows[0].m_0 == 2 and rows[7].m_rest == {"7": 2} and rows[7].m_all == 1
+
+
+def test_undeclared_keys_of_a_pivot_stay_in_a_map(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "a", "x"), (1, "b", "y"), (2, "c", None)], "id int, k string, v string")
+    rows = {r.id: (r.a, r.rest) for r in pivot_entries(df, ["id"], "k", "v", ["a"]).collect()}
+    assert rows == {1: ("x", {"b": "y"}), 2: (None, {"c": None})}
+
+
+def test_latest_and_upsert_scan_their_inputs_once(spark, tmp_path):
+    spark.range(10).selectExpr("id % 3 AS k", "id AS s", "map('a', id) AS m").write.parquet(f"{tmp_path}/t")
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    assert scans(newest_per_key(rows, ["k"], ["s"])) == 1
+    assert scans(upsert(rows, rows.where("s > 5"), ["k"], ["s"])) == 2
 
 
 def test_staging_follows_the_session_setting(spark):
