@@ -11,11 +11,14 @@ with a probability equal to their weighted Jaccard similarity. Darts are thrown
 only until every coordinate has one, about ``k log k`` per document.
 
 Bands of coordinates are joined. A bucket is not expanded into pairs: its
-members are compared with one leader; members that do not resemble it are
-compared again, with four times as many leaders each round, until none is
-left. Estimated pairs are verified on the texts themselves; links are the
-pairs with a weighted Jaccard similarity of ``THRESHOLD`` or more, classes
-their connected components.
+members' signatures are packed into chunks of at most about ``CHUNK``, and a
+task finds a maximum spanning forest of a chunk by the estimated similarity,
+which joins whatever all its pairs would join at any threshold. The chunks of a
+larger bucket are spanned two by two, which keeps that true; the comparisons in
+such a bucket grow with the square of its size, in blocks of bounded memory,
+what they return with the number of its chunks. The pairs of the forests are
+verified on the texts themselves; links are those with a weighted Jaccard
+similarity of ``THRESHOLD`` or more, classes their connected components.
 
 Equal texts are one node throughout (a 64-bit hash of the text), so copies
 cost one signature row each and no pairs. A text without words (null, blank)
@@ -45,8 +48,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 #: Estimates this far below the threshold (about four standard errors) are still verified.
 MARGIN = 0.13
+#: Signatures of a bucket in one chunk; a task holds two.
+CHUNK = 1024
 #: Elements thrown at once.
-ELEMENTS = 200_000
+ELEMENTS = 50_000
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -54,7 +59,7 @@ _U = np.uint64
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 60_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -178,61 +183,68 @@ def sign(texts: pd.Series, bands: int = BANDS, rows: int = ROWS, shingle: int =
 
 def signed_nodes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """``node, bands, marks``: one row per different text that has words."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 256)
     signer = F.pandas_udf(lambda texts: sign(texts, bands, rows, shingle), _SIGNED)
     signed = docs.select(F.xxhash64("text").alias("node"), signer(F.coalesce("text", F.lit(""))).alias("s"))
     return signed.select("node", "s.*").filter(F.col("marks").isNotNull()).dropDuplicates(["node"])
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``pairs`` (``a, b``) with the share of equal marks."""
+def spanning_pairs(marks: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of a maximum spanning forest by the share of equal marks, none below ``floor``.
 
-    @F.pandas_udf("double")
-    def equal(x: pd.Series, y: pd.Series) -> pd.Series:
-        left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y))
-        return pd.Series((left == right).mean(axis=1))
-
-    marks = nodes.select("node", "marks")
-    return (
-        pairs.join(marks.toDF("a", "mark_a"), "a").join(marks.toDF("b", "mark_b"), "b")
-        .select("a", "b", equal("mark_a", "mark_b").alias("estimate"))
-    )
+    Such a forest joins whatever all pairs above any threshold would join. One row is compared at a time.
+    """
+    n = len(marks)
+    best, nearest, waiting = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
+    current, left, right = 0, [], []
+    for _ in range(n - 1):
+        waiting[current] = False
+        alike = (marks == marks[current]).mean(axis=1)
+        closer = waiting & (alike > best)
+        best[closer], nearest[closer] = alike[closer], current
+        current = int(np.where(waiting, best, -2.0).argmax())
+        if best[current] >= floor:
+            left.append(nearest[current])
+            right.append(current)
+    return np.array(left, np.int64), np.array(right, np.int64)
 
 
 def candidate_pairs(nodes: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
-    """``a, b`` (a < b): pairs of bucket members and leaders whose estimate comes near the threshold."""
+    """``a, b`` (a < b): pairs of bucket members that may be links, as few as keep all classes together."""
+    floor = threshold - margin
     members = nodes.select(F.explode("bands").alias("key"), "node")
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stage(members.join(sizes, "key"), "dart-buckets")
-    waiting, tested, leaders_per_bucket = shared.select("key", "node"), None, 1
-    while True:
-        # The smallest node seen through the key is a different leader in every bucket.
-        lot = F.pmod(F.xxhash64("node", F.lit(leaders_per_bucket)), F.lit(leaders_per_bucket))
-        leaders = (
-            waiting.groupBy("key", lot.alias("lot")).agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("m"))
-            .select("key", F.col("m").bitwiseXOR(F.col("key")).alias("leader"))
-        )
-        met = shared.join(leaders, "key").filter("node <> leader").select("key", "node", "leader")
-        pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = stage(_estimated(pairs, nodes), "dart-estimates")
-        tested = found if tested is None else tested.union(found)
-        # In a bucket of two the pair is settled; elsewhere those unlike all leaders wait.
-        alike = tested.filter(F.col("estimate") >= threshold)
-        settled = (
-            met.withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader"))
-            .join(alike, ["a", "b"], "left_semi").select("key", "node").distinct()
-        )
-        waiting = stage(
-            waiting.join(shared.filter("size > 2").select("key").distinct(), "key", "left_semi")
-            .join(settled, ["key", "node"], "left_anti")
-            .join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti"),
-            "dart-waiting",
-        )
-        if waiting.isEmpty():
-            return tested.filter(F.col("estimate") >= threshold - margin).select("a", "b")
-        leaders_per_bucket *= 4
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    shared = members.join(sizes, "key").select("key", "node", chunks.alias("chunks"))
+    packed = stage(
+        shared.join(nodes.select("node", "marks"), "node")
+        .groupBy("key", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"))
+        .agg(F.collect_list(F.struct("node", "marks")).alias("m"))
+        .select("key", "chunks", "chunk", F.col("m.node").alias("nodes"), F.col("m.marks").alias("marks")),
+        "dart-buckets",
+    )
+
+    def matrix(marks) -> np.ndarray:
+        return np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1)
+
+    def ordered(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    def span(batches):
+        for batch in batches:
+            for ids, marks, more_ids, more_marks in batch[["nodes", "marks", "more_nodes", "more_marks"]].itertuples(index=False):
+                if more_ids is not None:
+                    ids, marks = np.concatenate([ids, more_ids]), [*marks, *more_marks]
+                ids = np.asarray(ids, np.int64)
+                yield ordered(*(ids[x] for x in spanning_pairs(matrix(marks), floor)))
+
+    # The chunks of a large bucket are spanned two by two; together these forests hold one of the whole bucket.
+    others = packed.filter("chunks > 1").select("key", F.col("chunk").alias("more_chunk"), F.col("nodes").alias("more_nodes"), F.col("marks").alias("more_marks"))
+    alone = packed.filter("chunks = 1").withColumns({"more_nodes": F.lit(None).cast("array<bigint>"), "more_marks": F.lit(None).cast("array<binary>")})
+    joint = packed.filter("chunks > 1").join(others, "key").filter("chunk < more_chunk")
+    columns = ["nodes", "marks", "more_nodes", "more_marks"]
+    small_batches(nodes.sparkSession, 64)
+    return stage(alone.select(*columns).unionByName(joint.select(*columns)).mapInPandas(span, "a long, b long").distinct(), "dart-pairs")
 
 
 def verified_links(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
@@ -252,6 +264,7 @@ def verified_links(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHO
                     rows.append((a, b))
             yield pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
+    small_batches(docs.sparkSession, 128)
     texts = docs.select(F.xxhash64("text").alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")

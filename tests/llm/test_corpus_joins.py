@@ -9,6 +9,7 @@ from os.path import dirname
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, dirname(__file__))
 
@@ -76,7 +77,9 @@ def near_copies(rng):
     return texts
 
 
-def test_near_duplicate_classes(spark):
+@pytest.mark.parametrize("chunk", [1024, 2])
+def test_near_duplicate_classes(spark, monkeypatch, chunk):
+    monkeypatch.setattr(dartminhash, "CHUNK", chunk)
     texts = near_copies(random.Random(5))
     got = {r.doc_id: r.class_id for r in dartminhash.classed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     sets, root = [dartminhash.elements(t) for t in texts], list(range(len(texts)))
@@ -152,16 +155,16 @@ def test_exact_topk(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(700, None), (701, [1, None] + [0] * 5), (None, [1] * 7), (3, x[3].tolist()), (702, [1])]
     df = spark.createDataFrame(rows, "id long, impacts array<bigint>")
     got = {}
-    for r in block_topk.top_k(df, df["id"] % 10 == 0, 5).collect():
+    for r in block_topk.top_k(df, F.col("id") % 10 == 0, 5).collect():
         got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
     scores = x @ x.T
     for q in range(0, 600, 10):
         order = sorted((i for i in range(600) if i != q), key=lambda i: (-scores[q, i], i))[:5]
         assert got[q] == {n + 1: (i, scores[q, i]) for n, i in enumerate(order)}
-    big = spark.createDataFrame([(i, [3 * 10**9 + i, -(10**9)]) for i in range(10)], "id long, impacts array<bigint>")
-    best = block_topk.top_k(big, big["id"] == 0, 1).first()
-    assert (best.vec_id, best.score) == (9, 3 * 10**9 * (3 * 10**9 + 9) + 10**18)
-    assert block_topk.top_k(df.limit(0), df["id"] % 10 == 0, 5).count() == 0
+    big = spark.createDataFrame([(i, [2 * 10**9 + i, -(10**9)]) for i in range(10)], "id long, impacts array<bigint>")
+    best = block_topk.top_k(big, F.col("id") == 0, 1).first()
+    assert (best.vec_id, best.score) == (9, 2 * 10**9 * (2 * 10**9 + 9) + 10**18)
+    assert block_topk.top_k(df.limit(0), F.col("id") % 10 == 0, 5).count() == 0
 
 
 def test_nearest_recall(spark):
@@ -169,7 +172,7 @@ def test_nearest_recall(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(3000, None), (3001, [0.0] * 24), (3002, [float("nan")] * 24), (3003, [1.0])]
     df = spark.createDataFrame(rows, "id long, vector array<double>")
     got = {}
-    for r in cross_polytope.nearest(df, df["id"] % 50 == 0, 20).collect():
+    for r in cross_polytope.nearest(df, F.col("id") % 50 == 0, 20).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     scores, hits = x @ x.T, 0
     for q in range(0, 2000, 50):
@@ -179,7 +182,7 @@ def test_nearest_recall(spark):
         others = np.delete(scores[q], q)
         hits += sum(s >= np.sort(others)[-20] - 1e-9 for _, _, s in own)
     assert hits / (40 * 20) >= 0.9
-    assert cross_polytope.nearest(df.limit(0), df["id"] == 0, 3).count() == 0
+    assert cross_polytope.nearest(df.limit(0), F.col("id") == 0, 3).count() == 0
 
 
 @needs_tables
