@@ -10,9 +10,9 @@ are decoded.
 
 The trigram model counts all texts (27^3 cells at most, whatever the corpus).
 The classifier is fitted on labelled rows: at most ``SAMPLE`` different texts
-per label, first by hash. Its features are restored words and their first four
-to six letters; a feature stays if toxic texts hold it far more often than
-others. A text's score is one minus the chance that none of its features is
+per label, first by hash. Its features are restored words, their first four
+to six letters, and first letters that several words of a text share; a feature
+stays if toxic texts hold it far more often than others. A text's score is one minus the chance that none of its features is
 toxic. At most ``FEATURES`` features are kept, the most significant ones, so
 both tables that travel to the tasks have a fixed bound.
 
@@ -42,7 +42,9 @@ SAMPLE = 20_000
 FEATURES = 4_000
 MIN_TOXIC = 4
 MIN_PRECISION = 0.8
-FORGET_WORDS = 300_000
+#: Numbers of different words with one beginning that make a feature.
+SEVERAL = (2, 3, 5)
+FORGET_WORDS = 60_000
 
 #: Letters that a sign may stand for.
 LOOKALIKES = {
@@ -186,9 +188,20 @@ def plain(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
+def beginnings(word: str) -> list[str]:
+    return [word[:k] for k in (4, 5, 6) if len(word) > k]
+
+
 def features(word: str) -> list[str]:
     """A word and its first letters."""
-    return [word, *(f"{word[:k]}*" for k in (4, 5, 6) if len(word) > k)]
+    return [word, *(f"{b}*" for b in beginnings(word))]
+
+
+def text_features(words: set[str]) -> set[str]:
+    """Words, their first letters, and first letters that several different words share (``abcd*3``: three or more)."""
+    shared = Counter(b for w in words for b in beginnings(w))
+    found = {f"{b}*{k}" for b, n in shared.items() if n > 1 for k in SEVERAL if n >= k}
+    return found.union(words, (f"{b}*" for b in shared))
 
 
 @dataclass
@@ -201,12 +214,14 @@ class ToxicityModel:
 
     def __post_init__(self) -> None:
         self.reader: Reader | None = None
-        self.weights: dict[str, float] = {}
+        self.weights: dict[str, tuple[float, tuple[str, ...]]] = {}
+        self.counted = {f.split("*")[0] for f in self.shares if f[-1:].isdigit() and "*" in f}
 
-    def _weight(self, word: str) -> float:
-        """Log of the chance that a word's strongest feature is not toxic."""
+    def _weight(self, word: str) -> tuple[float, tuple[str, ...]]:
+        """Log of the chance that a word's strongest feature is not toxic, and its beginnings that are counted."""
         shares = self.shares
-        return min((math.log1p(-shares[f]) for f in features(word) if f in shares), default=0.0)
+        own = min((math.log1p(-shares[f]) for f in features(word) if f in shares), default=0.0)
+        return own, tuple(b for b in beginnings(word) if b in self.counted)
 
     def score(self, text: str | None) -> float:
         if self.reader is None:
@@ -216,15 +231,21 @@ class ToxicityModel:
         if len(self.weights) > FORGET_WORDS:
             self.weights.clear()
         total, weights = math.log1p(-self.rest), self.weights
+        shared: Counter = Counter()
         for word in self.reader.words(text.lower()):
             w = weights.get(word)
             if w is None:
                 w = weights[word] = self._weight(word)
-            total += w
+            total += w[0]
+            if w[1]:
+                shared.update(w[1])
+        for b, n in shared.items():
+            if n > 1:
+                total += min((math.log1p(-self.shares[f]) for k in SEVERAL if n >= k and (f := f"{b}*{k}") in self.shares), default=0.0)
         return min(1.0, max(0.0, -math.expm1(total)))
 
     def __getstate__(self):
-        return {"costs": self.costs, "shares": self.shares, "rest": self.rest, "reader": None, "weights": {}}
+        return {**self.__dict__, "reader": None, "weights": {}}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -285,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features:
         flush = lambda: pd.DataFrame([(f, t, n) for (f, t), n in found.items()], columns=["feature", "toxic", "n"])
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                found.update((f, toxic) for f in {f for w in reader.words(text.lower()) for f in features(w)})
+                found.update((f, toxic) for f in text_features(reader.words(text.lower())))
             if len(found) > FORGET_WORDS:
                 yield flush()
                 found.clear()
