@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from parley.llm.common import small_batches, table
 
 MARKER = "▁"
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 60_000
 _CHUNK = re.compile(" ([ ]*[^ ]*)")
 
 

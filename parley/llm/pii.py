@@ -40,7 +40,7 @@ WINDOW = 8
 SUPPORT = 3
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
 #: Distinct words that a task counts before it hands them on.
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 100_000
 
 # An address has one "@" behind a run of its class; searching for the "@" first is much faster.
 _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
