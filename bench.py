@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,6 +35,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else None,
         **{
+            "spark.checkpoint.dir": os.environ.get("BENCH_STAGING") or tempfile.mkdtemp(prefix="parley-bench-"),
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             # Small tables: the default 32 MB page per sort costs more than the sort.

@@ -12,7 +12,7 @@ from parley.operators import dialogs as d
 from parley.operators import utterances as u
 from parley.operators.ordered import minute_slice, position
 from parley.plans.bot_reports import conversation_events, save_dialogs, save_utterances
-from parley.sources.bot_events import bot_events_sql, derived_bot_events
+from parley.plans.derived_events import bot_events_sql, derived_bot_events
 from parley.staging import stage, staging_path
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,7 @@ from parley.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[*]", 8,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.buffer.pageSize": "2m"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="parley-tests-"), "spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.buffer.pageSize": "2m"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
