@@ -63,7 +63,7 @@ def plain(spark, root):
         hidden = {i for _, _, end, start in formats.spans(text) for i in range(start, end)}
         shown = "".join("\0" if i in hidden else c for i, c in enumerate(text))
         d["text"] = d["text"] and re.sub("\0+", "[SECRET]", shown)
-        d["n_chars"] = None if text is None else len(d["text"])
+        d["n_chars"] = None if d["text"] is None else len(d["text"])
     sizes = {}
     for d in docs:
         sizes[d["source"]] = sizes.get(d["source"], 0) + len((d["text"] or "").split())
@@ -86,7 +86,7 @@ def plain(spark, root):
             out += [d] * (1 if n == 0 else epochs + (rest > 0 and 2 * rest >= n))
             before += n
     processor = pieces.load_processor(pieces.default_model())
-    return sorted((d["doc_id"], d["text"], d["source"], d["n_chars"], tuple(processor.encode(d["text"] or "") + [2])) for d in out)
+    return [(d["doc_id"], d["text"], d["source"], d["n_chars"], tuple(processor.encode(d["text"] or "") + [2])) for d in out]
 
 
 def key(row):
