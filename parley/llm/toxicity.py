@@ -45,6 +45,8 @@ MIN_PRECISION = 0.8
 #: Numbers of different words with one beginning that make a feature.
 SEVERAL = (2, 3, 5)
 FORGET_WORDS = 60_000
+FORGET_TOKENS = 300_000
+_NOTHING = (0.0, ())
 
 #: Letters that a sign may stand for.
 LOOKALIKES = {
@@ -102,7 +104,6 @@ def trigram_costs(counts: DataFrame) -> np.ndarray:
 
 
 _RUN = re.compile(r"(?<!\w)\w(?:[ .\-_*~]\w){2,}(?!\w)")
-_PLAIN = re.compile(r"[^\W\d_]+\Z")
 _TRIPLE = re.compile(r"(.)\1\1")
 _WORDS = re.compile(r"[a-z]+")
 _STRIP = ".,;:!?\"'()[]{}…»«"
@@ -155,23 +156,24 @@ class Reader:
 
     def _read(self, token: str) -> tuple[str, ...]:
         bare = token.strip(_STRIP)
-        if _PLAIN.match(bare) and not _TRIPLE.search(bare):
+        if bare.isalpha() and (len(set(bare)) >= len(bare) - 1 or not _TRIPLE.search(bare)):
             return (plain(bare),)
         parts = [plain(bare)] if len(bare) < 3 or not any(c.isalnum() for c in bare) or len(bare) > 48 else restore(bare, self.costs).split()
         # What stands beside a sign may also be a word by itself ("end.Begin").
         return tuple({*parts, *(plain(w) for w in re.findall(r"[^\W\d_]+", bare))})
 
-    def words(self, text: str) -> set[str]:
-        """All words of a lower-case text."""
-        if len(self.known) > FORGET_WORDS:
-            self.known.clear()
+    def read(self, token: str) -> tuple[str, ...]:
+        """Plain words of one token."""
+        words = self.known.get(token)
+        if words is None:
+            if len(self.known) > FORGET_WORDS:
+                self.known.clear()
+            words = self.known[token] = self._read(token)
+        return words
+
+    def runs(self, text: str) -> set[str]:
+        """Words of the runs of single letters in a lower-case text."""
         found: set[str] = set()
-        known = self.known
-        for token in set(text.split()):
-            words = known.get(token)
-            if words is None:
-                words = known[token] = self._read(token)
-            found.update(words)
         for m in _RUN.finditer(text):
             # A run may hold several words, cut where the model likes it, or be one word.
             for start in range(m.start(), m.end(), 80):
@@ -180,6 +182,13 @@ class Reader:
                 found.add(restore("".join(c for c in piece if c not in SEPARATORS), self.costs))
         return found
 
+    def words(self, text: str) -> set[str]:
+        """All words of a lower-case text."""
+        found = self.runs(text)
+        for token in set(text.split()):
+            found.update(self.read(token))
+        return found
+
 
 def plain(word: str) -> str:
     """Lower-case letters without marks; other letters stay as they are."""
@@ -214,12 +223,15 @@ class ToxicityModel:
 
     def __post_init__(self) -> None:
         self.reader: Reader | None = None
-        self.weights: dict[str, tuple[float, tuple[str, ...]]] = {}
+        self.starts = {f[:4] for f in self.shares if "*" in f}
+        self.plain_tokens: set[str] = set()
         self.counted = {f.split("*")[0] for f in self.shares if f[-1:].isdigit() and "*" in f}
 
     def _weight(self, word: str) -> tuple[float, tuple[str, ...]]:
         """Log of the chance that a word's strongest feature is not toxic, and its beginnings that are counted."""
         shares = self.shares
+        if word not in shares and word[:4] not in self.starts:
+            return _NOTHING
         own = min((math.log1p(-shares[f]) for f in features(word) if f in shares), default=0.0)
         return own, tuple(b for b in beginnings(word) if b in self.counted)
 
@@ -228,24 +240,30 @@ class ToxicityModel:
             self.reader = Reader(self.costs)
         if not text:
             return self.rest
-        if len(self.weights) > FORGET_WORDS:
-            self.weights.clear()
-        total, weights = math.log1p(-self.rest), self.weights
+        if len(self.plain_tokens) > FORGET_TOKENS:
+            self.plain_tokens.clear()
+        text = text.lower()
+        words = self.reader.runs(text)
+        # Most tokens have no weight; those known are taken out at once.
+        for token in set(text.split()) - self.plain_tokens:
+            found = self.reader.read(token)
+            if any(self._weight(w) != _NOTHING for w in found):
+                words.update(found)
+            else:
+                self.plain_tokens.add(token)
+        total = math.log1p(-self.rest)
         shared: Counter = Counter()
-        for word in self.reader.words(text.lower()):
-            w = weights.get(word)
-            if w is None:
-                w = weights[word] = self._weight(word)
-            total += w[0]
-            if w[1]:
-                shared.update(w[1])
+        for word in words:
+            own, counted = self._weight(word)
+            total += own
+            shared.update(counted)
         for b, n in shared.items():
             if n > 1:
                 total += min((math.log1p(-self.shares[f]) for k in SEVERAL if n >= k and (f := f"{b}*{k}") in self.shares), default=0.0)
         return min(1.0, max(0.0, -math.expm1(total)))
 
     def __getstate__(self):
-        return {**self.__dict__, "reader": None, "weights": {}}
+        return {**self.__dict__, "reader": None, "plain_tokens": set()}
 
 
 def held_out(doc_id: Column) -> Column:
