@@ -10,15 +10,22 @@ coordinate the earliest counting dart is kept. Two documents keep the same dart
 with a probability equal to their weighted Jaccard similarity. Darts are thrown
 only until every coordinate has one, about ``k log k`` per document.
 
-Bands of coordinates are joined. A bucket is not expanded into pairs: its
+Bands of coordinates are joined. A bucket is not expanded into pairs at first: its
 members' signatures are packed into chunks of at most about ``CHUNK``, and a
-task finds a maximum spanning forest of a chunk by the estimated similarity,
-which joins whatever all its pairs would join at any threshold. The chunks of a
-larger bucket are spanned two by two, which keeps that true; the comparisons in
-such a bucket grow with the square of its size, in blocks of bounded memory,
-what they return with the number of its chunks. The pairs of the forests are
-verified on the texts themselves; links are those with a weighted Jaccard
-similarity of ``THRESHOLD`` or more, classes their connected components.
+task finds a maximum spanning forest of a chunk by the estimated similarity.
+The chunks of a larger bucket are spanned two by two; the comparisons in
+such a bucket grow with the square of its size, in blocks of bounded memory.
+The pairs of the forests are verified on the texts themselves; links are those with a
+weighted Jaccard similarity of ``THRESHOLD`` or more, classes their connected components.
+
+Estimates err, so a forest pair may fail where a pair that it displaced would
+not. Therefore all pairs of bucket members that the verified links leave in
+different classes are listed next, unless their estimate lies more than
+``MARGIN`` below the threshold. They are verified in rounds: of every two
+classes the most alike pair, then eight times as many each round, until each
+listed pair is tested or inside one class. So the classes are those of all
+links among the listed and spanned pairs. Where nearly alike texts are no links, this
+tests all their pairs, the square of their number.
 
 Equal texts are one node throughout (a 64-bit hash of the text), so copies
 cost one signature row each and no pairs. A text without words (null, blank)
@@ -192,7 +199,7 @@ def signed_nodes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle:
 def spanning_pairs(marks: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of a maximum spanning forest by the share of equal marks, none below ``floor``.
 
-    Such a forest joins whatever all pairs above any threshold would join. One row is compared at a time.
+    Such a forest joins whatever all pairs with an estimate above any threshold would join. One row is compared at a time.
     """
     n = len(marks)
     best, nearest, waiting = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
@@ -209,23 +216,39 @@ def spanning_pairs(marks: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndar
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def candidate_pairs(nodes: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
-    """``a, b`` (a < b): pairs of bucket members that may be links, as few as keep all classes together."""
-    floor = threshold - margin
+def _matrix(marks) -> np.ndarray:
+    return np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1)
+
+
+def _buckets(nodes: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """``key, chunks, chunk, nodes, roots, marks``: the chunks of buckets that may hold a pair.
+
+    With ``roots`` (``node, root``) these are the buckets whose members are not all of one class; in a
+    bucket of two the forest holds the only pair.
+    """
     members = nodes.select(F.explode("bands").alias("key"), "node")
-    sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    marked = nodes.select("node", "marks", F.col("node").alias("root"))
+    if roots is not None:
+        marked = nodes.select("node", "marks").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        members = nodes.join(roots, "node", "left").select(F.explode("bands").alias("key"), "node", F.coalesce("root", "node").alias("root"))
+    root = "node" if roots is None else "root"
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), (F.min(root) < F.max(root)).alias("open"))
+    sizes = sizes.filter(F.col("open") & (F.col("size") > (1 if roots is None else 2)))
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     shared = members.join(sizes, "key").select("key", "node", chunks.alias("chunks"))
-    packed = stage(
-        shared.join(nodes.select("node", "marks"), "node")
+    return stage(
+        shared.join(marked, "node")
         .groupBy("key", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"))
-        .agg(F.collect_list(F.struct("node", "marks")).alias("m"))
-        .select("key", "chunks", "chunk", F.col("m.node").alias("nodes"), F.col("m.marks").alias("marks")),
+        .agg(F.collect_list(F.struct("node", "root", "marks")).alias("m"))
+        .select("key", "chunks", "chunk", F.col("m.node").alias("nodes"), F.col("m.root").alias("roots"), F.col("m.marks").alias("marks")),
         "dart-buckets",
     )
 
-    def matrix(marks) -> np.ndarray:
-        return np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1)
+
+def candidate_pairs(nodes: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """``a, b`` (a < b): the pairs of bucket members that span each bucket by estimated similarity."""
+    floor = threshold - margin
+    packed = _buckets(nodes)
 
     def ordered(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
@@ -236,7 +259,7 @@ def candidate_pairs(nodes: DataFrame, threshold: float = THRESHOLD, margin: floa
                 if more_ids is not None:
                     ids, marks = np.concatenate([ids, more_ids]), [*marks, *more_marks]
                 ids = np.asarray(ids, np.int64)
-                yield ordered(*(ids[x] for x in spanning_pairs(matrix(marks), floor)))
+                yield ordered(*(ids[x] for x in spanning_pairs(_matrix(marks), floor)))
 
     # The chunks of a large bucket are spanned two by two; together these forests hold one of the whole bucket.
     others = packed.filter("chunks > 1").select("key", F.col("chunk").alias("more_chunk"), F.col("nodes").alias("more_nodes"), F.col("marks").alias("more_marks"))
@@ -247,10 +270,39 @@ def candidate_pairs(nodes: DataFrame, threshold: float = THRESHOLD, margin: floa
     return stage(alone.select(*columns).unionByName(joint.select(*columns)).mapInPandas(span, "a long, b long").distinct(), "dart-pairs")
 
 
+def displaced_pairs(nodes: DataFrame, roots: DataFrame, tested: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """``a, b, alike``: all other pairs of bucket members of different classes, with the share of equal marks."""
+    floor = threshold - margin
+    packed = _buckets(nodes, roots)
+
+    def cross(batches):
+        for batch in batches:
+            for ids, own, marks, more_ids, more_own, more_marks in batch[columns].itertuples(index=False):
+                same = more_ids is None
+                ids, own, marks = np.asarray(ids, np.int64), np.asarray(own, np.int64), _matrix(marks)
+                more_ids, more_own, more_marks = (
+                    (ids, own, marks) if same else (np.asarray(more_ids, np.int64), np.asarray(more_own, np.int64), _matrix(more_marks)))
+                for i in range(len(ids)):
+                    after = i + 1 if same else 0
+                    alike = (more_marks[after:] == marks[i]).mean(axis=1)
+                    at = np.flatnonzero((alike >= floor) & (more_own[after:] != own[i]))
+                    if len(at):
+                        other = more_ids[after:][at]
+                        yield pd.DataFrame({"a": np.minimum(ids[i], other), "b": np.maximum(ids[i], other), "alike": alike[at]})
+
+    nothing = {"more_nodes": F.lit(None).cast("array<bigint>"), "more_roots": F.lit(None).cast("array<bigint>"), "more_marks": F.lit(None).cast("array<binary>")}
+    columns = ["nodes", "roots", "marks", *nothing]
+    others = packed.filter("chunks > 1").select("key", F.col("chunk").alias("more_chunk"), *[F.col(c.removeprefix("more_")).alias(c) for c in nothing])
+    joint = packed.filter("chunks > 1").join(others, "key").filter("chunk < more_chunk")
+    small_batches(nodes.sparkSession, 64)
+    found = packed.withColumns(nothing).select(*columns).unionByName(joint.select(*columns)).mapInPandas(cross, "a long, b long, alike double")
+    return stage(found.distinct().join(tested, ["a", "b"], "left_anti"), "dart-displaced")
+
+
 def verified_links(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """``a, b`` of the pairs whose texts are at least ``threshold`` similar.
 
-    Different texts are shuffled once by node; a text of a pair travels once more to its partner.
+    Different texts of the pairs are shuffled once by node; a text of a pair travels once more to its partner.
     """
 
     def check(batches):
@@ -265,7 +317,8 @@ def verified_links(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHO
             yield pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
     small_batches(docs.sparkSession, 128)
-    texts = docs.select(F.xxhash64("text").alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.select(F.xxhash64("text").alias("node"), "text").join(paired, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
 
@@ -274,7 +327,20 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     """``node, root`` for each text that has a near duplicate; other texts have no row."""
     nodes = stage(signed_nodes(docs), "dart-nodes")
     pairs = candidate_pairs(nodes, threshold)
-    return components(verified_links(docs, pairs, threshold).toDF("u", "v"))
+    roots = stage(components(verified_links(docs, pairs, threshold).toDF("u", "v")), "dart-roots")
+    waiting, most = displaced_pairs(nodes, roots, pairs, threshold), 1
+    while True:
+        # Pairs that by now lie inside one class need no test.
+        ends = waiting.join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
+        root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
+        between = Window.partitionBy(F.least(root_a, root_b), F.greatest(root_a, root_b)).orderBy(F.desc("alike"), "a", "b")
+        ranked = stage(ends.filter(root_a != root_b).select("a", "b", "alike", F.row_number().over(between).alias("place")), "dart-waiting")
+        if ranked.isEmpty():
+            return roots
+        links = stage(verified_links(docs, ranked.filter(F.col("place") <= most).select("a", "b"), threshold), "dart-links")
+        if not links.isEmpty():
+            roots = stage(components(roots.toDF("u", "v").union(links.toDF("u", "v"))), "dart-roots")
+        waiting, most = ranked.filter(F.col("place") > most).select("a", "b", "alike"), 8 * most
 
 
 def classed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -91,6 +91,29 @@ def test_near_duplicate_classes(spark, monkeypatch, chunk):
     assert got == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("chunk", [1024, 40])
+def test_near_duplicate_groups_at_the_threshold(spark, monkeypatch, chunk):
+    monkeypatch.setattr(dartminhash, "CHUNK", chunk)
+    rng, texts = random.Random(12), []
+    for size in (60, 60, 200):
+        base = words(rng, 304).split()
+        for _ in range(size):
+            w = list(base)
+            for at in rng.sample(range(304), 4):  # two variants are about 0.77 alike, some more than 0.8
+                w[at] = f"changed{rng.randrange(10**9)}"
+            texts.append(" ".join(w))
+    got = {r.doc_id: r.class_id for r in dartminhash.classed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets, root, signed = [dartminhash.elements(t) for t in texts], list(range(len(texts))), dartminhash.sign(texts)
+    keys, marks = np.array(signed["bands"].tolist()), np.array([np.frombuffer(m, np.uint8) for m in signed["marks"]])
+    for i in range(len(texts)):
+        near = np.flatnonzero((keys[:i] == keys[i]).any(axis=1) & ((marks[:i] == marks[i]).mean(axis=1) >= dartminhash.THRESHOLD - dartminhash.MARGIN))
+        for j in near:
+            if root[i] != root[j] and dartminhash.weighted_jaccard(sets[i], sets[j]) >= 0.8:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert got == dict(enumerate(root))
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
