@@ -1,31 +1,36 @@
 """Personal data: fixed patterns, and terms that disclose what they found.
 
 Emails, addresses, card and phone numbers found by fixed patterns are the
-*protected entities*. A term near an entity may give it away. How much is
+*protected entities*. A term of the same document may give one away. How much is
 measured on the corpus: with N documents, n(e) of them holding entity e, n(t)
-holding term t, and n(e, t) holding t within ``WINDOW`` words of e,
+holding term t, and n(e, t) holding both,
 
     pmi(e, t) = log2(n(e, t) N / (n(e) n(t)))      ic(e) = log2(N / n(e))
 
-and the disclosure of e by t is pmi / ic, 1 if t occurs only beside e. Terms at
+and the disclosure of e by t is pmi / ic, 1 if t occurs only in documents of e. Terms at
 or above ``REMOVE_AT`` are removed, those at or above ``GENERALISE_AT`` are
-replaced by a general word. A pair counts only if at least ``SUPPORT``
-different texts show it; copies of one text are no evidence.
+replaced by a general word, wherever they stand in a document that holds e.
 
-All counts cover all documents. The entity contexts are staged without texts;
+A pair counts if so many different texts would hardly show it by chance: of the
+m pairs measured, at most ``CHANCE`` are expected to be seen in k of the n texts
+of e if t fell on texts at random, by the bound C(n, k) (n(t) / N)^k of a binomial
+tail. Copies of one text are no evidence. Two texts suffice where N exceeds 20 times the root of m. A pair
+that one text alone shows is as likely as any other of its rare words, so it
+never counts: an entity held by a single text has no disclosing term.
+
+All counts cover all documents. Texts that hold entities are staged;
 pairs are aggregated before they are shuffled, and a common entity or term is
-spread over the pairs it forms. Nothing is collected.
+spread over the pairs it forms. Nothing is collected but two counts.
 
 A null text counts as empty. Repeated rows get equal results. Documents
 without a protected entity have no spans. Columns of ``docs`` named ``base,
-near, terms, row`` or ``text_hash`` are replaced.
+held, terms, row`` or ``text_hash`` are replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections import Counter
 
 import pandas as pd
@@ -36,10 +41,9 @@ from parley.llm.common import kept_aside, small_batches, table
 from parley.staging import stage
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
-WINDOW = 8
-SUPPORT = 3
+CHANCE = 0.01
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
-#: Distinct words that a task counts before it hands them on.
+#: Distinct words or pairs that a task counts before it hands them on.
 COUNTED_WORDS = 100_000
 
 # An address has one "@" behind a run of its class; searching for the "@" first is much faster.
@@ -92,42 +96,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def context(text: str, spans: list[tuple[int, int, int]], window: int = WINDOW) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the ``window`` terms on either side of each entity."""
-    if not spans:
-        return []
+def held_terms(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all terms outside the fixed matches ``spans``."""
     parts, at = [], 0
-    for start, end in sorted((s, e) for _, s, e in spans):
+    for start, end in sorted(spans):
         parts += [text[at:start], " " * (end - max(at, start))]
         at = max(at, end)
-    masked = "".join([*parts, text[at:]])
-    terms = [m.span() for m in _TERM.finditer(masked)]
-    starts = [s for s, _ in terms]
-    out = []
-    for kind, start, end in spans:
-        entity, place = f"{KINDS[kind]}:{text[start:end]}", bisect_left(starts, start)
-        out += [(entity, text[s:e].lower(), s, e) for s, e in terms[max(0, place - window) : place + window]]
-    return out
+    return [(m[0].lower(), *m.span()) for m in _TERM.finditer("".join([*parts, text[at:]]))]
 
 
-_SCAN = "base array<struct<kind:string,start:int,end:int>>, near array<struct<entity:string,term:string,start:int,end:int>>"
+_SCAN = "base array<struct<kind:string,start:int,end:int>>, held array<string>"
 
 
-def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``base`` (fixed matches) and ``near`` (terms around them)."""
+def scan(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``base`` (fixed matches) and ``held`` (the different entities)."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf(_SCAN)
     def find(texts: pd.Series) -> pd.DataFrame:
-        base, near = [], []
+        base, held = [], []
         for text in texts:
             spans = base_spans(text)
             base.append([{"kind": KINDS[k], "start": s, "end": e} for k, s, e in spans])
-            near.append([dict(zip(("entity", "term", "start", "end"), x)) for x in context(text, spans, window)])
-        return pd.DataFrame({"base": base, "near": near})
+            held.append(sorted({f"{KINDS[k]}:{text[s:e]}" for k, s, e in spans}))
+        return pd.DataFrame({"base": base, "held": held})
+
+    docs = docs.drop("base", "held")
+    return docs.withColumn("_scan", find(F.coalesce("text", F.lit("")))).select("*", "_scan.base", "_scan.held").drop("_scan")
+
 
-    docs = docs.drop("base", "near")
-    return docs.withColumn("_scan", find(F.coalesce("text", F.lit("")))).select("*", "_scan.base", "_scan.near").drop("_scan")
+def _distinct_terms(text: str, base) -> set[str]:
+    return {t for t, _, _ in held_terms(text, [(x["start"], x["end"]) for x in base])}
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -148,23 +147,46 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing_pairs(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE_AT) -> DataFrame:
-    """``entity, term, disclosure`` for the pairs at or above ``threshold``.
+def disclosing_pairs(holding: DataFrame, docs: DataFrame, chance: float = CHANCE, threshold: float = GENERALISE_AT) -> DataFrame:
+    """``entity, term, disclosure`` for the pairs at or above ``threshold`` that are no chance.
 
-    ``scanned`` needs ``row, text_hash, near``; ``docs`` needs ``text``.
+    ``holding`` needs ``text, text_hash, base, held`` of the rows with entities; ``docs`` needs ``text``.
     """
-    seen = scanned.select("text_hash", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity, x.term)))).alias("p"))
-    per_text = seen.groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term"), "text_hash").agg(F.count("*").alias("n"))
-    pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
-    entities = (
-        scanned.select(F.explode(F.array_distinct("near.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    )
-    # Document counts are only needed of terms that stand beside a supported entity.
+    # Copies are counted once per text.
+    per_text = holding.groupBy("text_hash").agg(F.first(F.struct("text", "base", "held")).alias("t"), F.count("*").alias("n")).select("t.*", "n")
+
+    def count(batches):
+        copies, texts = Counter(), Counter()
+
+        def flush():
+            rows = [(e, t, n, texts[e, t]) for (e, t), n in copies.items()]
+            copies.clear(), texts.clear()
+            return pd.DataFrame(rows, columns=["entity", "term", "n_pair", "texts"])
+
+        for batch in batches:
+            for text, base, held, n in batch[["text", "base", "held", "n"]].itertuples(index=False):
+                terms = _distinct_terms(text, base)
+                for entity in held:
+                    for term in terms:
+                        copies[entity, term] += n
+                        texts[entity, term] += 1
+                    if len(copies) > COUNTED_WORDS:
+                        yield flush()
+        yield flush()
+
+    counted = per_text.mapInPandas(count, "entity string, term string, n_pair long, texts long")
+    pairs = stage(counted.groupBy("entity", "term").agg(F.sum("n_pair").alias("n_pair"), F.sum("texts").alias("texts")), "pii-pairs")
+    entities = per_text.select(F.explode("held").alias("entity"), "n").groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_texts"))
+    measured, total = F.lit(pairs.count()), F.lit(docs.count())
+    pairs = pairs.filter("texts > 1")  # one text is never significant
+    # Document counts are only needed of terms that stand beside an entity.
     terms = term_documents(docs).join(pairs.select("term").distinct(), "term", "left_semi")
-    total = F.lit(docs.count())
     pmi = F.log2(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_term")))
+    k, n = F.col("texts"), F.col("n_texts")
+    ways = F.when(k == n, 0.0).otherwise(k * (1 + F.log(n / k)))  # C(n, k) <= (e n / k)^k
     return (
         pairs.join(entities, "entity").join(terms, "term")
+        .filter(F.log(measured) + ways + k * F.log(F.col("n_term") / total) <= F.log(F.lit(chance)))
         .withColumn("disclosure", F.when(F.col("n_entity") < total, pmi / F.log2(total / F.col("n_entity"))))
         .filter(F.col("disclosure") >= threshold)
         .select("entity", "term", "disclosure")
@@ -172,26 +194,41 @@ def disclosing_pairs(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT
 
 
 def disclosure_spans(
-    docs: DataFrame, support: int = SUPPORT, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT,
+    docs: DataFrame, chance: float = CHANCE, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT,
 ) -> DataFrame:
     """``docs`` without ``text``, with ``base`` and ``terms``: array of ``kind, start, end``, kind generalise or remove."""
     # Rows are numbered once, in a table: document ids may repeat or be missing.
     rows = stage(
-        scan(docs).withColumn("text_hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id()).drop("text"), "pii-scan"
-    )
-    with_context = rows.filter(F.size("near") > 0).select("row", "text_hash", "near")
-    flagged = disclosing_pairs(with_context, docs, support, generalise_at)
-    spans = (
-        with_context.select("row", F.explode("near").alias("x"))
-        .select("row", F.col("x.entity").alias("entity"), F.col("x.term").alias("term"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
-        .join(flagged, ["entity", "term"])
-        .groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-        .withColumn("kind", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise"))
-        .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("terms"))
+        scan(docs).withColumn("text_hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+        .withColumn("text", F.when(F.size("held") > 0, F.col("text"))),
+        "pii-scan",
     )
-    return rows.join(spans, "row", "left").drop("row", "text_hash", "near").withColumn(
-        "terms", F.coalesce(F.transform("terms", lambda x: F.struct(x.kind, x.start, x.end)), F.array().cast("array<struct<kind:string,start:int,end:int>>"))
+    holding = rows.filter(F.size("held") > 0).select("row", "text_hash", "text", "base", "held")
+    flagged = stage(disclosing_pairs(holding, docs, chance, generalise_at), "pii-flagged")
+
+    def pairs(batches):
+        for batch in batches:
+            for row, text, base, held in batch[["row", "text", "base", "held"]].itertuples(index=False):
+                terms = sorted(_distinct_terms(text, base))
+                for entity in held:
+                    yield pd.DataFrame({"row": row, "entity": entity, "term": terms}).astype({"term": object})
+
+    @F.pandas_udf("array<struct<kind:string,start:int,end:int>>")
+    def place(texts: pd.Series, base: pd.Series, found: pd.Series) -> pd.Series:
+        out = []
+        for text, own, terms in zip(texts, base, found):
+            told = {x["term"]: x["disclosure"] for x in terms} if terms is not None else {}
+            spans = held_terms(text, [(x["start"], x["end"]) for x in own]) if told else []
+            out.append([{"kind": "remove" if told[t] >= remove_at else "generalise", "start": s, "end": e} for t, s, e in spans if t in told])
+        return pd.Series(out, dtype=object)
+
+    told = (
+        holding.mapInPandas(pairs, "row long, entity string, term string").join(flagged, ["entity", "term"])
+        .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+        .groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("_told"))
     )
+    placed = rows.join(told, "row", "left").withColumn("terms", place("text", "base", "_told"))
+    return placed.drop("row", "text_hash", "text", "held", "_told")
 
 
 def sanitise_documents(docs: DataFrame, **options) -> DataFrame:

@@ -105,6 +105,16 @@ def test_disclosing_terms(spark):
     assert all(cleaned[i] == texts[i] for i in range(5, 65))
 
 
+def test_rare_entities_are_disclosed_anywhere(spark):
+    rng = random.Random(14)
+    filler = lambda: " ".join(rng.choice(["river", "stone", "cloud", "green", "walks", "under"]) for _ in range(40))
+    texts = [f"Zelda {filler()} n{i} {filler()} zelda {filler()} ann@x.org" for i in range(2)] + [f"{filler()} n{i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate([*texts, f"tarzan {filler()} bob@x.org"])), "doc_id long, text string")
+    cleaned = {r.doc_id: r.text for r in pii.sanitise_documents(docs).collect()}
+    assert all("zelda" not in cleaned[i].lower() and "ann@x.org" not in cleaned[i] and "river" in cleaned[i] for i in range(2))
+    assert "tarzan" in cleaned[302] and all(cleaned[i] == texts[i] for i in range(2, 302))
+
+
 @pytest.fixture(scope="module")
 def toxic_model(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
