@@ -4,9 +4,9 @@ A disguised word is read as a noisy transmission of plain letters: letters may
 be replaced by look-alikes, repeated, or held apart by signs. The possible
 letters of each position form a lattice, and the likeliest path under a
 character trigram model of the corpus and the channel's costs restores the
-word (Viterbi). A word of plain letters without a letter three times in a row
-has one path only, itself; so only other words, and runs of single letters,
-are decoded.
+word (Viterbi). A word of plain letters without a letter twice in a row
+has one path only, itself; all other words, and runs of single letters,
+are decoded, whole whatever their length, in time linear in it.
 
 The trigram model counts all texts (27^3 cells at most, whatever the corpus).
 The classifier is fitted on labelled rows: at most ``SAMPLE`` different texts
@@ -104,18 +104,27 @@ def trigram_costs(counts: DataFrame) -> np.ndarray:
 
 
 _RUN = re.compile(r"(?<!\w)\w(?:[ .\-_*~]\w){2,}(?!\w)")
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 _WORDS = re.compile(r"[a-z]+")
 _STRIP = ".,;:!?\"'()[]{}…»«"
 
 
+def _chained(read: tuple | None) -> str:
+    out = []
+    while read is not None:
+        read, signs = read
+        out.append(signs)
+    return "".join(reversed(out))
+
+
 def restore(token: str, costs: np.ndarray) -> str:
     """The likeliest plain reading of a disguised token; blanks part its words.
 
     A state is the last two letters; a run of one sign may give one or two letters.
     """
     letters = fold_codes(token)
-    states = {(0, 0): (0.0, "")}
+    # What was read is a chain of (before, signs), so that a step costs the same however long the token is.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     i = 0
     while i < len(token):
         sign = token[i]
@@ -124,7 +133,7 @@ def restore(token: str, costs: np.ndarray) -> str:
             run += 1
         own = [(int(letters[i]), 0.0)] if letters[i] else []
         own += [(ord(x) - 96, COST_LOOKALIKE) for x in LOOKALIKES.get(sign, "")]
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
 
         def step(state, cost, read):
             if cost < after.get(state, (math.inf,))[0]:
@@ -133,18 +142,20 @@ def restore(token: str, costs: np.ndarray) -> str:
         for (a, b), (cost, read) in states.items():
             for letter, extra in own:
                 once = cost + extra + float(costs[a, b, letter])
-                step((b, letter), once + COST_REPEAT * (run > 1), read + chr(96 + letter))
+                step((b, letter), once + COST_REPEAT * (run > 1), (read, chr(96 + letter)))
                 if run > 1:
                     twice = once + extra + float(costs[b, letter, letter])
-                    step((letter, letter), twice + COST_REPEAT * (run > 2), read + 2 * chr(96 + letter))
+                    step((letter, letter), twice + COST_REPEAT * (run > 2), (read, 2 * chr(96 + letter)))
             if sign in SEPARATORS:
                 step((a, b), cost + COST_SEPARATOR, read)
             if not own:  # a sign that is no letter may be a border
-                step((b, 0) if b else (a, b), cost + (float(costs[a, b, 0]) if b else 0.0), read + " " if b else read)
+                step((b, 0) if b else (a, b), cost + (float(costs[a, b, 0]) if b else 0.0), (read, " ") if b else read)
         states = after
         i += run
     # The word's end counts, so that a sign at the end is not forced to be a letter.
-    return min((cost + (float(costs[a, b, 0]) if b else 0.0), read) for (a, b), (cost, read) in states.items())[1].strip()
+    ends = [(cost + (float(costs[a, b, 0]) if b else 0.0), read) for (a, b), (cost, read) in states.items()]
+    least = min(cost for cost, _ in ends)
+    return min(_chained(read) for cost, read in ends if cost == least).strip()
 
 
 class Reader:
@@ -156,9 +167,9 @@ class Reader:
 
     def _read(self, token: str) -> tuple[str, ...]:
         bare = token.strip(_STRIP)
-        if bare.isalpha() and (len(set(bare)) >= len(bare) - 1 or not _TRIPLE.search(bare)):
+        if bare.isalpha() and (len(set(bare)) == len(bare) or not _DOUBLE.search(bare)):
             return (plain(bare),)
-        parts = [plain(bare)] if len(bare) < 3 or not any(c.isalnum() for c in bare) or len(bare) > 48 else restore(bare, self.costs).split()
+        parts = [plain(bare)] if len(bare) < 3 or not any(c.isalnum() for c in bare) else restore(bare, self.costs).split()
         # What stands beside a sign may also be a word by itself ("end.Begin").
         return tuple({*parts, *(plain(w) for w in re.findall(r"[^\W\d_]+", bare))})
 
@@ -176,10 +187,8 @@ class Reader:
         found: set[str] = set()
         for m in _RUN.finditer(text):
             # A run may hold several words, cut where the model likes it, or be one word.
-            for start in range(m.start(), m.end(), 80):
-                piece = text[start : min(m.end(), start + 96)]
-                found.update(restore(piece, self.costs).split())
-                found.add(restore("".join(c for c in piece if c not in SEPARATORS), self.costs))
+            found.update(restore(m[0], self.costs).split())
+            found.add(restore("".join(c for c in m[0] if c not in SEPARATORS), self.costs))
         return found
 
     def words(self, text: str) -> set[str]:

@@ -131,6 +131,19 @@ def test_disguises_are_read(toxic_model, word):
     assert toxic_model.score("the ing and of 12 a b") < 0.5
 
 
+@needs_tables
+@pytest.mark.parametrize("word", ["iddiot", "stuupid", "$tu" + 60 * "u" + "pid", "/".join(["1d10t"] * 12)])
+def test_doubled_and_long_disguises_are_read(toxic_model, word):
+    assert toxic_model.score(f"the ing and {word} of") >= 0.5
+
+
+def test_spaced_letters_are_read_whole():
+    import numpy as np
+
+    letters = "abcdefghijklmnopqrstuvwxyz" * 4
+    assert letters in toxicity.Reader(np.zeros((27, 27, 27), np.float32)).runs(" ".join(letters))
+
+
 @needs_tables
 def test_held_out_accuracy(spark, toxic_model):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
