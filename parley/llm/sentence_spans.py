@@ -5,8 +5,12 @@ hash the first occurrence over the corpus (smallest document id, then text
 hash, then place) stays; every sentence that another occurrence covers is
 removed. Spans of fewer than ``MIN_WORDS`` words do not count, so that small
 talk is no repetition. A sentence ends at a full stop, question or exclamation
-mark or a line's end; longer ones are read in pieces of ``PIECE`` words, so
-that a passage without stops is found too. Case and blanks do not matter.
+mark or a line's end; ones of more than ``PIECE`` words are read in pieces, so
+that a passage without stops is found too. A piece ends at a word whose hash is
+the least of its neighbours (``PIECE / 2`` on either side), so the borders
+inside a passage do not depend on what stands around it; only at its two ends a
+piece may be shared with other text and stay. Where no such word comes within
+twice ``PIECE`` words, pieces of ``PIECE`` words are counted from the last border. Case and blanks do not matter.
 
 Hashes are counted before anything is joined; only occurrences of repeated
 ones are kept, and of these a document gets the list of its own places. A
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -37,6 +42,23 @@ MIN_WORDS = 12
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
 
 
+def borders(words: list[str], piece: int = PIECE) -> list[int]:
+    """Numbers of words in front of the cuts of a long sentence, chosen by the words nearby."""
+    reach = max(1, piece // 2)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.rstrip(".!?")) >> 1 for w in words), np.int64, len(words))
+    wide = np.concatenate([np.full(reach, 2**63 - 1), hashes, np.full(reach, 2**63 - 1)])
+    least = np.lib.stride_tricks.sliding_window_view(wide, reach).min(axis=1)
+    # Of equal neighbours the first is a border.
+    chosen = np.flatnonzero((hashes < least[: len(words)]) & (hashes <= least[reach + 1 :])) + 1
+    out = [0]
+    for cut in [*chosen.tolist(), len(words)]:
+        while cut - out[-1] > 2 * piece:
+            out.append(out[-1] + piece)
+        if cut > out[-1]:
+            out.append(cut)
+    return out[1:-1]
+
+
 def sentences(text: str, piece: int = PIECE) -> list[tuple[str, list[str]]]:
     """Sentences of a text, which concatenate to it, and their words in lower case."""
     out: list[tuple[str, list[str]]] = []
@@ -47,8 +69,9 @@ def sentences(text: str, piece: int = PIECE) -> list[tuple[str, list[str]]]:
             continue
         # Piece borders are ends of words, with the blanks behind them.
         ends = [m.end() for m in re.finditer(r"\S+\s*", raw)]
-        cuts = [0, *ends[piece - 1 : -1 : piece], len(raw)]
-        out += [(raw[a:b], words[i * piece : (i + 1) * piece]) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+        cuts = borders(words, piece)
+        at, places = [0, *cuts, len(words)], [0, *(ends[c - 1] for c in cuts), len(raw)]
+        out += [(raw[places[i] : places[i + 1]], words[at[i] : at[i + 1]]) for i in range(len(cuts) + 1)]
     return out
 
 

@@ -138,6 +138,16 @@ def test_sentence_spans(spark):
     assert got[32][0] == "" and got[31][1] > 0
 
 
+@pytest.mark.parametrize("front", range(13))
+def test_passages_without_stops_share_spans(front):
+    rng = random.Random(13)
+    passage = words(rng, 120)
+    spans = lambda t: {h for h in sentence_spans.span_hashes(sentence_spans.sentences(t)) if h is not None}
+    other = f"{words(rng, front)} {passage} {words(rng, 30)}"
+    assert "".join(s for s, _ in sentence_spans.sentences(other)) == other
+    assert len(spans(passage) & spans(other)) >= 4
+
+
 @pytest.mark.parametrize("contexts", [2000, 3])
 def test_repeated_bytes(spark, monkeypatch, contexts):
     monkeypatch.setattr(prefix_free, "CONTEXTS", contexts)
