@@ -3,8 +3,9 @@
 The fixed patterns find credentials of three kinds in every text and label
 them. A sample of the distinct labelled values of each kind (at most
 ``SAMPLE`` per kind, the first by hash, none longer than ``SAMPLE_CHARS``)
-trains one probabilistic automaton per kind. All other long tokens of all
-texts are candidates; one is reported if an automaton explains its format much
+trains one probabilistic automaton per kind. All other tokens of 12 or more characters of all
+texts are candidates, also those of which a fixed match is only a part, and where a token is
+not reported, its parts beside dots and equals signs; one is reported if an automaton explains its format much
 better than the corpus's own class-pair statistics of such tokens, which are
 counted over all documents.
 
@@ -42,7 +43,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # Runs of these classes have no other reading, so the length can stand in the pattern.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+# The alphabet and least length of the values that an assignment labels, and the parts of such a token.
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
+_PART = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -57,11 +60,24 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 
 def candidate_spans(text: str, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
-    """Long tokens that no fixed match overlaps."""
-    spans = [m.span() for m in _CANDIDATE.finditer(text)]
-    if not base:
-        return spans
-    return [(s, e) for s, e in spans if all(e <= b[0] or s >= b[2] for b in base)]
+    """Long tokens, without their outer dots, that no fixed match covers.
+
+    Assignments are tokens of their own; what stands in front of one is read by itself.
+    """
+    assigned = [(b[0], b[2]) for b in base if b[1] == 0]
+    spans = []
+    for m in _CANDIDATE.finditer(text):
+        start, last = m.span()
+        for s, e in [x for x in assigned if x[0] < last and x[1] > start] + [(last, last)]:
+            end = min(s, last)
+            while start < end and text[start] in ".=":
+                start += 1
+            while start < end and text[end - 1] == ".":
+                end -= 1
+            if end - start >= 12:
+                spans.append((start, end))
+            start = max(start, e)
+    return [(s, e) for s, e in spans if not any(b[0] <= s and e <= b[2] for b in base)]
 
 
 @dataclass
@@ -95,7 +111,15 @@ class FormatModel:
     def spans(self, text: str) -> list[tuple[int, int, int, int]]:
         """All spans of a text, as ``base_spans`` gives them."""
         base = base_spans(text)
-        added = [(s, 3, e, s) for s, e in candidate_spans(text, base) if self.accepts(text[s:e])]
+        added = []
+        for s, e in candidate_spans(text, base):
+            if self.accepts(text[s:e]):
+                added.append((s, 3, e, s))
+                continue
+            # A credential may be a part of a token ("name=value", "file.value").
+            parts = [m.span() for m in _PART.finditer(text, s, e)]
+            parts = [x for x in parts if x != (s, e) and not any(b[0] <= x[0] and x[1] <= b[2] for b in base)]
+            added += [(x, 3, y, x) for x, y in parts if self.accepts(text[x:y])]
         return sorted(base + added) if added else base
 
 
@@ -111,6 +135,8 @@ def labels_and_pairs(docs: DataFrame) -> DataFrame:
                 base = base_spans(text)
                 found.update((KINDS[k], text[secret:end]) for _, k, end, secret in base)
                 for s, e in candidate_spans(text, base):
+                    if any(b[0] < e and b[2] > s for b in base):
+                        continue  # holds a credential
                     symbols = "^" + classes(text[s:e])
                     found.update(("pair", a + b) for a, b in zip(symbols, symbols[1:]))
             yield pd.DataFrame([(w, v, n) for (w, v), n in found.items()], columns=["what", "value", "n"])

@@ -93,6 +93,19 @@ def test_format_model_adds_unlabelled_keys(spark):
     assert [(k, text[s:e]) for s, k, e, _ in model.spans(text)] == [(3, text.split()[2])]
 
 
+def test_short_dotted_and_partly_known_credentials(spark):
+    rng = random.Random(15)
+    code = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    kinds = {"short": lambda: code(13), "dotted": lambda: f"{code(8)}.{code(8)}", "partly": lambda: f"SK_{code(5)}_9f8e7d6c5b4a39281706_{code(6)}"}
+    for kind, make in kinds.items():
+        texts = [f"set token={make()} here" for _ in range(200)] + ["some extraordinarilylongwords andunbelievablylongones."] * 80
+        model = secrets.learn_formats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        text = f"look at {make()}, extraordinarilylongwords."
+        secret = text.split()[2].rstrip(",")
+        assert secret in [text[s:e] for s, k, e, _ in model.spans(text) if k == 3], kind
+        assert "extraordinarilylongwords" not in [text[s:e] for s, k, e, _ in model.spans(text)]
+
+
 def test_disclosing_terms(spark):
     rng = random.Random(4)
     filler = lambda: " ".join(rng.choice(["river", "stone", "cloud", "green", "walks", "under"]) for _ in range(12))
