@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.llm import block_topk, cross_polytope, dartminhash, mixing, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
+from parley.llm import anchor_simhash, block_topk, cross_polytope, dartminhash, mixing, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
 
 QUERIES = {
     "op1_exact_topk": block_topk.op1_exact_topk,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_nearest": cross_polytope.op9_nearest,
     "op10_personal_data": pii.op10_personal_data,
+    "op11_simhash_anchors": anchor_simhash.op11_simhash_anchors,
 }
 ORACLES = {
     "op1_exact_topk": block_topk.OP1_SQL,
