@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.llm import anchor_simhash, block_topk, cross_polytope, dartminhash, mixing, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
+from parley.llm import anchor_simhash, block_topk, cross_polytope, dartminhash, mixing, phrases, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
 
 QUERIES = {
     "op1_exact_topk": block_topk.op1_exact_topk,
@@ -16,8 +16,10 @@ QUERIES = {
     "op9_nearest": cross_polytope.op9_nearest,
     "op10_personal_data": pii.op10_personal_data,
     "op11_simhash_anchors": anchor_simhash.op11_simhash_anchors,
+    "op12_collocations": phrases.op12_collocations,
 }
 ORACLES = {
     "op1_exact_topk": block_topk.OP1_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
+    "op12_collocations": phrases.OP12_SQL,
 }

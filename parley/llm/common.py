@@ -24,6 +24,12 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def sized_batches(spark: SparkSession) -> None:
+    """Bound the bytes that Python workers get at once: many short rows or a few long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which follows the input's size."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
