@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.llm import anchor_simhash, block_topk, cross_polytope, dartminhash, mixing, phrases, pieces, pii, prefix_free, secrets, sentence_spans, toxicity
+from parley.llm import anchor_simhash, block_topk, cross_polytope, dartminhash, mixing, phrases, pieces, pii, prefix_free, secrets, sentence_spans, toxicity, variants
 
 QUERIES = {
     "op1_exact_topk": block_topk.op1_exact_topk,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_personal_data": pii.op10_personal_data,
     "op11_simhash_anchors": anchor_simhash.op11_simhash_anchors,
     "op12_collocations": phrases.op12_collocations,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 ORACLES = {
     "op1_exact_topk": block_topk.OP1_SQL,
