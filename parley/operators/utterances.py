@@ -377,14 +377,21 @@ def remove_agent_spans(utterances: DataFrame) -> DataFrame:
     return depth.where((F.col("after") == 0) & (F.col("depth") == 0)).select(*utterances.columns)
 
 
-def final_scores(utterances: DataFrame, words: Sequence[str] = FILLERS_AFTER) -> DataFrame:
-    """Total score, final conversation id, closing filter and output columns."""
+def final_scores(
+    utterances: DataFrame, words: Sequence[str] = FILLERS_AFTER, keep: dict[str, str] | None = None
+) -> DataFrame:
+    """Total score, final conversation id, closing filter and output columns.
+
+    ``keep`` names further columns (new name to old name) of the utterances.
+    """
+    kept = {new: F.col(old) for new, old in (keep or {}).items()}
     return drop_fillers(utterances, words).withColumns(
         {
+            **kept,
             "final_score": F.round(F.col("master_score") + F.col("child_score"), 2),
             "conversation_id": F.coalesce(F.col("props_master_conversation_id"), F.col("props_conversation_id")),
         }
-    ).select(*OUTPUT)
+    ).select(*OUTPUT, *kept)
 
 
 def prepared_utterances(events: DataFrame) -> DataFrame:
@@ -431,10 +438,10 @@ def merged_utterances(events: DataFrame) -> DataFrame:
     return merge_passes(prepared_utterances(events))
 
 
-def score_utterances(events: DataFrame) -> DataFrame:
-    """The whole chain: events in scope to scored utterances."""
+def score_utterances(events: DataFrame, keep: dict[str, str] | None = None) -> DataFrame:
+    """The whole chain: events in scope to scored utterances; ``keep`` as in :func:`final_scores`."""
     merged = stage(merged_utterances(events), "utterances-merged")
-    return final_scores(remove_agent_spans(merged))
+    return final_scores(remove_agent_spans(merged), keep=keep)
 
 
 def new_utterances(utterances: DataFrame, known: DataFrame) -> DataFrame:

@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 from parley.functions.times import date_window, in_date_range
 from parley.operators import dialogs as d
 from parley.operators.utterances import score_utterances
-from parley.schemas import DAILY_KPI, DIALOG, SCORED_UTTERANCE
+from parley.schemas import DAILY_KPI, DIALOG, SCORED_UTTERANCE, STORED_EVENT
 from parley.sources import tables
+from parley.sources.group_store import GroupStore
 from parley.sources.jsonlines import existing_paths
 from parley.staging import stage
 
 DIALOG_KEYS = ("event_date", "conversation_id", "dialog")
 UTTERANCE_KEYS = ("event_date", "conversation_id", "activity_id")
+#: The day and conversation whose events gave an utterance, which its own ids need not name.
+UTTERANCE_GROUP = {"event_date": "event_date", "event_conversation_id": "conversation_id"}
 STORED_UTTERANCE = T.StructType([*SCORED_UTTERANCE.fields, T.StructField("event_date", T.DateType())])
 
 
@@ -77,3 +80,34 @@ def save_utterances(spark: SparkSession, events: DataFrame, path: str) -> DataFr
     found = stage(scored, "utterances-new")
     found.write.mode("append").partitionBy("event_date").parquet(path)
     return found
+
+
+def dialog_store(spark: SparkSession, root: str, event: T.StructType = STORED_EVENT) -> GroupStore:
+    """Events and dialogs by conversation and day; see :func:`deliver_dialogs`."""
+    return GroupStore(spark, root, d.KEYS, event, DIALOG, ["event_id"], ["time"])
+
+
+def deliver_dialogs(store: GroupStore, events: DataFrame, number: int | None = None) -> int:
+    """Take a delivery of events, late ones too, and segment the conversation-days it touches anew.
+
+    Dialogs that a late event ends, splits, flags or joins are replaced; all others stay as they are.
+    """
+    return store.deliver(d.in_scope(events), d.segment_dialogs, number)
+
+
+def utterance_store(spark: SparkSession, root: str, event: T.StructType = STORED_EVENT) -> GroupStore:
+    """Events and scored utterances by conversation and day; see :func:`deliver_utterances`."""
+    # Both sides name the group alike; the utterance's own conversation id is a column of the result.
+    source = T.StructType([event["event_date"], T.StructField("event_conversation_id", T.StringType()), *[
+        f for f in event.fields if f.name not in ("event_date", "conversation_id")]])
+    result = T.StructType([*SCORED_UTTERANCE.fields, source["event_date"], source["event_conversation_id"]])
+    return GroupStore(spark, root, list(UTTERANCE_GROUP), source, result, ["event_id"], ["time"])
+
+
+def deliver_utterances(store: GroupStore, events: DataFrame, number: int | None = None) -> int:
+    """Take a delivery of events and score the utterances of the conversation-days it touches anew."""
+
+    def score(rows: DataFrame) -> DataFrame:
+        return score_utterances(rows.withColumnRenamed("event_conversation_id", "conversation_id"), keep=UTTERANCE_GROUP)
+
+    return store.deliver(d.in_scope(events).withColumnRenamed("conversation_id", "event_conversation_id"), score, number)

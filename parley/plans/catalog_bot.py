@@ -11,7 +11,9 @@ from parley.functions.times import in_date_range
 from parley.operators import dialogs as d
 from parley.operators import utterances as u
 from parley.operators.ordered import minute_slice, position
-from parley.plans.bot_reports import conversation_events, save_dialogs, save_utterances
+from parley.plans.bot_reports import (
+    conversation_events, deliver_dialogs, deliver_utterances, dialog_store, save_dialogs, save_utterances, utterance_store,
+)
 from parley.plans.derived_events import bot_events_sql, derived_bot_events
 from parley.staging import stage, staging_path
 
@@ -77,6 +79,34 @@ def incremental_utterances(spark, sf_dir):
     return spark.read.parquet(path).drop("event_date").withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
+#: Events of some conversations that arrive with a second delivery.
+_LATE = "event_date >= DATE '2024-01-12' AND event_id % 3 = 0 AND conversation_id IN ('c1-in', 'c4-in', 'c7-in', 'c12-in')"
+
+
+def _deliveries(events):
+    """On time; late; and the late ones once more, with a few of the first."""
+    late = F.expr(_LATE)
+    return events.where(~late), events.where(late), events.where(late | F.expr("event_date = DATE '2024-01-20' AND conversation_id = 'c2-in'"))
+
+
+def late_dialogs(spark, sf_dir):
+    """Dialogs after three deliveries, with the delivery that last computed each."""
+    store = dialog_store(spark, staging_path(spark, "late-dialogs"))
+    for events in _deliveries(scoped_table(spark, sf_dir)):
+        deliver_dialogs(store, events)
+    return store.read().withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+
+
+def late_utterances(spark, sf_dir):
+    """Utterances after three deliveries, the first two folded into a base before the third."""
+    store = utterance_store(spark, staging_path(spark, "late-utterances"))
+    first, late, again = _deliveries(scoped_table(spark, sf_dir))
+    deliver_utterances(store, first)
+    store.compact(deliver_utterances(store, late))
+    deliver_utterances(store, again)
+    return store.read().drop("event_date", "event_conversation_id").withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
 def dialog_daily_kpis(spark, sf_dir):
     return d.daily_kpis(d.segment_dialogs(scoped_table(spark, sf_dir)))
 
@@ -318,6 +348,18 @@ ORACLES = {
         coalesce(props_master_conversation_id, props_conversation_id) AS resolved_conversation_id FROM b""",
     "semi_user_instances": _DIALOGS + " SELECT event_date, conversation_id, instance_id FROM vi",
     "dialog_segments": _DIALOGS + f" SELECT {_DIALOG_OUT} FROM dialogs",
+    "late_dialogs": _DIALOGS + f""",
+        tc AS (SELECT DISTINCT event_date, conversation_id, CAST(2 AS BIGINT) AS last FROM s
+          WHERE ({_LATE}) OR (event_date = DATE '2024-01-20' AND conversation_id = 'c2-in'))
+        SELECT {_DIALOG_OUT}, coalesce(last, 0) AS batch_id FROM dialogs LEFT JOIN tc USING (event_date, conversation_id)""",
+    "late_utterances": _SPANS + f""",
+        tc AS (SELECT DISTINCT event_date, conversation_id, CAST(2 AS BIGINT) AS last FROM s
+          WHERE ({_LATE}) OR (event_date = DATE '2024-01-20' AND conversation_id = 'c2-in'))
+        SELECT time, text, activity_id, intent, intent_score, app_role_name, child_app_role_name, props_conversation_id,
+          props_master_conversation_id, coalesce(props_master_conversation_id, props_conversation_id) AS conversation_id,
+          agent_connection, master_score, child_score, round(master_score + child_score, 2) AS final_score, coalesce(last, 0) AS batch_id
+        FROM p4 LEFT JOIN tc USING (event_date, conversation_id)
+        WHERE NOT coalesce(lower(text) IN ('cancel', 'show more', 'yes, please.'), false)""",
     "incremental_new_dialogs": _DIALOGS + f""" SELECT {_DIALOG_OUT} FROM dialogs d WHERE NOT EXISTS (
         SELECT 1 FROM dialogs o WHERE o.start_time < TIMESTAMP '2024-01-16' AND o.event_date = d.event_date
         AND o.conversation_id = d.conversation_id AND o.dialog = d.dialog)""",
@@ -359,6 +401,6 @@ QUERIES = {
         event_position, filter_conversation_events, filter_date_range, conversation_id_coalesce, semi_user_instances,
         dialog_segments, incremental_new_dialogs, dialog_daily_kpis, conversation_bounce_stats, activity_first_seen,
         activity_intent, utterance_raw_scores, lookahead_brand, lookahead_agent, agent_span_removal, utterance_scores,
-        activity_distinct_count, incremental_utterances,
+        activity_distinct_count, incremental_utterances, late_dialogs, late_utterances,
     )
 }

@@ -47,6 +47,14 @@ BOT_EVENT_COLUMNS = {
     "AppRoleName": "app_role_name",
 }
 
+#: Bot events as the dialog and utterance stores keep them.
+STORED_EVENT = _struct(
+    ("event_date", _DATE), ("event_id", _L), ("time", _TS), ("name", _S), ("conversation_id", _S),
+    ("props_conversation_id", _S), ("props_master_conversation_id", _S), ("activity_id", _S), ("instance_id", _S),
+    ("text", _S), ("intent", _S), ("intent_score", _D), ("top_answer_score", _D), ("app_role_name", _S),
+    ("step_name", _S), ("dialog_id", _S),
+)
+
 DIALOG = _struct(
     ("event_date", _DATE), ("dialog", _S), ("conversation_id", _S), ("start_time", _TS), ("end_time", _TS),
     ("abandoned_left", _B), ("cancelled", _B), ("failed", _B), ("agent", _B),
