@@ -77,9 +77,11 @@ def upsert_partial(
     return t.join(s, condition, "full_outer").select(*out)
 
 
-def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Change feed between two versions of a keyed table.
 
+    Without ``null_safe`` the keys are never missing and compare plainly, which leaves the sides' partitioning usable.
+
     ``_change_type`` is insert, delete, update_preimage or update_postimage;
     rows that did not change are left out.
     """
@@ -99,7 +101,8 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     left, right = image(old, "old"), image(new, "new")
     condition = F.lit(True)
     for k in keys:
-        condition = condition & F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}"))
+        left_key, right_key = F.col(f"__old_{k}"), F.col(f"__new_{k}")
+        condition = condition & (left_key.eqNullSafe(right_key) if null_safe else left_key == right_key)
     both = left.join(right, condition, "full_outer")
 
     def change(kind: str, name: str) -> Column:

@@ -15,8 +15,10 @@ from parley.operators.latest import newest_per_key
 from parley.plans.hourly_ingest import parse_lines, split_rejects
 from parley.schemas import CLIENT_TYPE_DISTRIBUTION
 from parley.sources import jsonlines, tables
+from parley.sources.bucket_table import BucketTable
 from parley.sources.jsonlines import read_lines
 from parley.staging import stage, staging_path
+from parley.streaming import ingest
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +86,54 @@ def cdc_scd1(spark, sf_dir):
     return ups.upsert(newest_per_key(late, KEY, ["ts", "event_id"]), early, KEY, ["ts", "event_id"], guard=True)
 
 
+def _bucketed(spark, sf_dir, label: str) -> BucketTable:
+    return BucketTable(spark, staging_path(spark, label), events(spark, sf_dir).schema, KEY, ["ts", "event_id"], 16)
+
+
+def bucketed_upsert(spark, sf_dir):
+    """The same two deliveries as ``upsert_latest``, merged into a bucketed table."""
+    early, late = _parts(spark, sf_dir)
+    table = _bucketed(spark, sf_dir, "bucketed")
+    table.merge(late)
+    table.merge(early, guard=False)
+    return table.read()
+
+
+#: Three deliveries: overlapping ranges of time, the last one for some users only.
+_DELIVERIES = (
+    "ts < TIMESTAMP '2024-01-12 00:00:00'",
+    "ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-21 00:00:00' AND user_id % 3 <> 0",
+    "ts >= TIMESTAMP '2024-01-16 00:00:00' AND user_id % 50 = 7",
+)
+
+
+def _delivered(spark, sf_dir, label: str) -> BucketTable:
+    table = _bucketed(spark, sf_dir, label)
+    for part in _DELIVERIES:
+        table.merge(events(spark, sf_dir).where(part))
+    return table
+
+
+def merge_metrics(spark, sf_dir):
+    """What each of three merges did to the keys."""
+    return _delivered(spark, sf_dir, "metrics").metrics().select("version", "inserted", "updated", "unchanged")
+
+
+def change_feed(spark, sf_dir):
+    """Changes of the second and third merge together, from the buckets they replaced."""
+    return _delivered(spark, sf_dir, "feed").change_feed(0, 2)
+
+
+def change_feed_folders(spark, sf_dir):
+    """The same feed from change folders, of which the first is folded into a base."""
+    root, rows = staging_path(spark, "feed-folders"), events(spark, sf_dir)
+    for number, part in enumerate(_DELIVERIES):
+        ingest.apply_batch(rows.where(part), number, root, KEY, ["ts", "event_id"])
+        if number == 0:
+            ingest.compact(spark, root, KEY, ["ts", "event_id"], 0)
+    return ingest.change_feed(spark, root, KEY, ["ts", "event_id"], 0, 2).drop("batch_id")
+
+
 def _sides(spark, sf_dir):
     """Two tables that hold every event between them: all views only in the first, all clicks only in the second."""
     rows = events(spark, sf_dir)
@@ -121,6 +171,11 @@ WITH tg AS (SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'), c
 tn AS (SELECT * FROM tg QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
 cn AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)"""
 
+# Of every key the newest row of each delivery, as one number of time and id.
+_FED = "WITH dl AS (" + " UNION ALL ".join(
+    f"""SELECT CAST({number} AS BIGINT) AS version, user_id, event_type, max(epoch_us(ts)::HUGEINT * 1000000000 + event_id) AS seq
+      FROM events WHERE {part} GROUP BY ALL""" for number, part in enumerate(_DELIVERIES)) + ")"
+
 _SIDES = """
 WITH o AS (SELECT * FROM events WHERE event_type = 'view' OR event_type <> 'click' AND CAST(ts AS DATE) <= DATE '2024-01-20'
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
@@ -395,6 +450,18 @@ ORACLES = {
         SELECT * FROM cn WHERE NOT EXISTS (SELECT 1 FROM tn WHERE cn.user_id = tn.user_id AND cn.event_type = tn.event_type)""",
     "cdc_scd1": """SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "bucketed_upsert": _LATEST + """ SELECT * FROM tn UNION ALL
+        SELECT * FROM cn WHERE NOT EXISTS (SELECT 1 FROM tn WHERE cn.user_id = tn.user_id AND cn.event_type = tn.event_type)""",
+    "merge_metrics": _FED + """,
+        w AS (SELECT *, max(seq) OVER (PARTITION BY user_id, event_type ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM dl)
+        SELECT version, count(*) FILTER (WHERE was IS NULL) AS inserted, count(*) FILTER (WHERE seq > was) AS updated,
+          count(*) FILTER (WHERE seq <= was) AS unchanged FROM w GROUP BY 1""",
+    **{name: _FED + """,
+        j AS (SELECT max(seq) FILTER (WHERE version = 0) % 1000000000 AS oid, max(seq) % 1000000000 AS nid FROM dl GROUP BY user_id, event_type)
+        SELECT e.*, 'insert' AS _change_type FROM j JOIN events e ON e.event_id = j.nid WHERE oid IS NULL UNION ALL
+        SELECT e.*, 'update_preimage' FROM j JOIN events e ON e.event_id = j.oid WHERE nid <> oid UNION ALL
+        SELECT e.*, 'update_postimage' FROM j JOIN events e ON e.event_id = j.nid WHERE nid <> oid"""
+       for name in ("change_feed", "change_feed_folders")},
     "upsert_partial": _SIDES + """
         SELECT coalesce(o.event_id, n.event_id) AS event_id, coalesce(o.ts, n.ts) AS ts, coalesce(o.user_id, n.user_id) AS user_id,
           coalesce(o.event_type, n.event_type) AS event_type, coalesce(n.value, o.value) AS value, coalesce(n.props, o.props) AS props

@@ -6,8 +6,8 @@ batch leaves the same state. Readers combine the base with the changes; a
 compaction job folds changes into a new base now and then. The table, its
 audit and its checkpoint share one root folder, so batch numbers stay unique.
 
-Time travel is ``upto=N``; the change feed between two batches is
-``table_diff`` of two such readings.
+Time travel is ``upto=N``; ``change_feed`` gives what changed between two
+batches, from the keys these batches brought.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from parley.operators.audit import batch_file_audit
-from parley.operators.latest import newest_per_key
+from parley.operators.latest import any_key_null, comparable, newest_per_key, row_digest
 from parley.operators.upsert import cluster_by
 from parley.sources.jsonlines import CORRUPT
 from parley.sources.tables import versions
@@ -126,6 +126,65 @@ def read_current(
     return newest_per_key(rows, keys, order, null_keys)
 
 
+def _stored_rows(spark: SparkSession, root: str, upto: int, schema: StructType | None) -> DataFrame:
+    """Base and change rows up to a batch, with ``batch_id``; a base's rows without one have its number."""
+    folded = [v for v in versions(spark, f"{root}/base") if v <= upto]
+    if not folded:
+        return read_changes(spark, root, upto=upto, schema=schema)
+    base = spark.read.parquet(f"{root}/base/version={folded[-1]}")
+    if "batch_id" not in base.columns:
+        base = base.withColumn("batch_id", F.lit(folded[-1]))
+    if not any(folded[-1] < n <= upto for n in versions(spark, f"{root}/changes", "batch_id")):
+        return base
+    return base.unionByName(read_changes(spark, root, folded[-1], upto, schema), allowMissingColumns=True)
+
+
+def change_feed(
+    spark: SparkSession,
+    root: str,
+    keys: Sequence[str],
+    sequence: Sequence[str],
+    after: int,
+    upto: int,
+    guard: bool = True,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """What the batches after one up to another changed, as ``table_diff`` names it.
+
+    Only keys of these batches can have changed, so rows before them are
+    filtered by these keys first, without two snapshots: one aggregate takes each key's newest row before
+    (batches up to ``after``) and now. Rows without a key are always inserted. A base newer than
+    ``after`` no longer tells what was before.
+    """
+    if any(after < v <= upto for v in versions(spark, f"{root}/base")):
+        raise ValueError(f"a base folded batch {after} and later ones")
+    changed = read_changes(spark, root, after, upto, schema)
+    touched = changed.where(~any_key_null(keys)).select(*keys).distinct()
+    names = [c for c in changed.columns if c != "batch_id"]
+    rows = changed.where(~any_key_null(keys)).select(*changed.columns, F.lit(False).alias("__before"))
+    if after >= 0 and (versions(spark, f"{root}/base") or any(n <= after for n in versions(spark, f"{root}/changes", "batch_id"))):
+        before = _stored_rows(spark, root, after, schema).join(touched, list(keys), "left_semi").withColumn("__before", F.lit(True))
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    order = [*sequence, "batch_id"] if guard else ["batch_id", *sequence]
+    place = F.struct(*order, row_digest(changed, keys))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    image = F.struct(*[c for c in rows.columns if c not in ("__before", *keys)])
+    both = rows.groupBy(*keys).agg(
+        F.max_by(image, F.when(F.col("__before"), place)).alias("old"), F.max_by(image, place).alias("new"))
+
+    def seen(side: str):
+        return F.struct(*[comparable(F.col(side)[c], kinds[c]) for c in names if c not in keys])
+
+    def change(kind: str, side: str):
+        return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("row"))
+
+    changes = F.when(F.col("old").isNull(), F.array(change("insert", "new"))).when(
+        ~seen("old").eqNullSafe(seen("new")), F.array(change("update_preimage", "old"), change("update_postimage", "new")))
+    out = both.select(*keys, F.explode(changes).alias("c")).select(*keys, "c.row.*", "c._change_type")
+    loose = changed.where(any_key_null(keys)).withColumn("_change_type", F.lit("insert"))
+    return out.unionByName(loose, allowMissingColumns=True).select(*names, "batch_id", "_change_type")
+
+
 def compact(
     spark: SparkSession,
     root: str,
