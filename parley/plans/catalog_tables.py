@@ -12,6 +12,7 @@ from parley.functions.times import hour_folder, hours_between, safe_cast
 from parley.operators import audit as a
 from parley.operators import gold, quality, upsert as ups
 from parley.operators.latest import newest_per_key
+from parley.plans.gold_incremental import GoldTables
 from parley.plans.hourly_ingest import parse_lines, split_rejects
 from parley.schemas import CLIENT_TYPE_DISTRIBUTION
 from parley.sources import jsonlines, tables
@@ -54,11 +55,54 @@ def gold_user_channel(spark, sf_dir):
     return out.withColumn("communication_channel", F.array_join("communication_channel", ","))
 
 
+#: Rows that the second delivery changes (another user, one item more) and the third deletes.
+_UPDATED = "event_id % 7 = 3 AND date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'"
+_DELETED = "(event_id % 11 = 5 OR client_type = 'signup') AND date BETWEEN DATE '2024-01-13' AND DATE '2024-01-16'"
+
+
+def _gold_tables(spark, sf_dir) -> GoldTables:
+    """Three deliveries of a feed: everything, updates on five dates, deletes on four."""
+    tables_ = GoldTables(spark, staging_path(spark, "gold"))
+    rows = events(spark, sf_dir).select("event_id", F.to_date("ts").alias("date"), F.col("event_type").alias("client_type"),
+        F.col("event_type").alias("activity_type"), F.col("user_id").cast("string").alias("user_id"),
+        t.extract_int("props", r'"k": (\d+)').alias("item_count"), F.concat(F.lit("role"), (F.col("event_id") % 3).cast("string")).alias("app_role_name"))
+    updated = rows.withColumns({"user_id": F.concat(F.col("user_id"), F.lit("x")), "item_count": F.col("item_count") + 1})
+    kept = F.when(F.expr(_UPDATED), 1).otherwise(0) == 0
+    marked = lambda df, kind: df.withColumn("_change_type", F.lit(kind))
+    tables_.apply(marked(rows, "insert"), 0)
+    tables_.apply(marked(rows.where(_UPDATED), "update_preimage").unionByName(marked(updated.where(_UPDATED), "update_postimage")), 1)
+    current = rows.where(kept).unionByName(updated.where(_UPDATED))
+    tables_.apply(marked(current.where(_DELETED), "delete"), 2)
+    return tables_
+
+
+def gold_incremental(spark, sf_dir):
+    """Client types per day after three deliveries of changes, and the delivery that last wrote the day."""
+    found = _gold_tables(spark, sf_dir)
+    written = spark.createDataFrame(list(found.tables["client_types"][0].owners().items()), "date date, delivery int")
+    return found.read("client_types").withColumn("percent_users", F.round("percent_users", 6)).join(written, "date")
+
+
+def gold_incremental_channels(spark, sf_dir):
+    out = _gold_tables(spark, sf_dir).read("channels")
+    return out.withColumn("communication_channel", F.array_join("communication_channel", ","))
+
+
+def gold_incremental_users(spark, sf_dir):
+    return _gold_tables(spark, sf_dir).read("daily_users")
+
+
 _APP = """
 WITH app AS (SELECT CAST(ts AS DATE) AS date, event_type AS client_type, event_type AS activity_type, user_id,
   CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS item_count,
   concat('role', CAST(event_id % 3 AS VARCHAR)) AS app_role_name FROM events)"""
 
+_CHANGED = f"""
+WITH raw AS (SELECT event_id, CAST(ts AS DATE) AS date, event_type AS client_type, event_type AS activity_type, CAST(user_id AS VARCHAR) AS user_id,
+  CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS item_count, concat('role', CAST(event_id % 3 AS VARCHAR)) AS app_role_name FROM events),
+app AS (SELECT date, client_type, activity_type, CASE WHEN {_UPDATED} THEN concat(user_id, 'x') ELSE user_id END AS user_id,
+  CASE WHEN {_UPDATED} THEN item_count + 1 ELSE item_count END AS item_count, app_role_name FROM raw WHERE NOT ({_DELETED}))"""
+
 # --- keyed tables ---------------------------------------------------------
 
 KEY = ["user_id", "event_type"]
@@ -442,6 +486,15 @@ ORACLES = {
         SELECT date, client_type, count(DISTINCT user_id) AS user_base, any_value(total_users) AS total_users,
           round(count(DISTINCT user_id) / any_value(total_users) * 100.0::DOUBLE, 6) AS percent_users
         FROM app JOIN tu USING (date) GROUP BY 1, 2""",
+    "gold_incremental": _CHANGED + """,
+        totals AS (SELECT date, count(DISTINCT user_id) AS total_users FROM app GROUP BY 1)
+        SELECT date, client_type, count(DISTINCT user_id) AS user_base, any_value(total_users) AS total_users,
+          round(count(DISTINCT user_id) / CAST(any_value(total_users) AS DOUBLE) * 100.0, 6) AS percent_users,
+          CASE WHEN date BETWEEN DATE '2024-01-13' AND DATE '2024-01-16' THEN 2 WHEN date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14' THEN 1 ELSE 0 END AS delivery
+        FROM app JOIN totals USING (date) GROUP BY 1, 2""",
+    "gold_incremental_channels": _CHANGED + """ SELECT date, user_id, activity_type, CAST(sum(item_count) AS DOUBLE) AS interactions,
+        string_agg(DISTINCT app_role_name, ',' ORDER BY app_role_name) AS communication_channel FROM app GROUP BY 1, 2, 3""",
+    "gold_incremental_users": _CHANGED + " SELECT date, count(DISTINCT user_id) AS total_users FROM app GROUP BY 1",
     "gold_user_channel": _APP + """ SELECT date, user_id, activity_type, CAST(sum(item_count) AS DOUBLE) AS interactions,
         array_to_string(list_sort(list(DISTINCT app_role_name)), ',') AS communication_channel FROM app GROUP BY 1, 2, 3""",
     "dedupe_latest": """SELECT * FROM events

@@ -51,7 +51,7 @@ BOT_EVENT_COLUMNS = {
 STORED_EVENT = _struct(
     ("event_date", _DATE), ("event_id", _L), ("time", _TS), ("name", _S), ("conversation_id", _S),
     ("props_conversation_id", _S), ("props_master_conversation_id", _S), ("activity_id", _S), ("instance_id", _S),
-    ("text", _S), ("intent", _S), ("intent_score", _D), ("top_answer_score", _D), ("app_role_name", _S),
+    ("text", _S), ("intent", _S), ("intent_score", _S), ("top_answer_score", _S), ("app_role_name", _S),
     ("step_name", _S), ("dialog_id", _S),
 )
 
@@ -73,6 +73,8 @@ DAILY_KPI = _struct(
     ("closed_agent_dialogs", _L), ("fcr_dialogs", _L), ("fcr_pct", _D), ("failed_pct", _D), ("fbr_pct", _D),
 )
 
+DAILY_USERS = _struct(("date", _DATE, False), ("total_users", _L))
+
 CLIENT_TYPE_DISTRIBUTION = _struct(
     ("date", _DATE, False), ("client_type", _S), ("user_base", _L), ("total_users", _L), ("percent_users", _D),
 )

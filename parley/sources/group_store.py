@@ -96,7 +96,7 @@ class GroupStore:
         known = [F.col(c).isNotNull() for c in self.group]
         for condition in known:
             rows = rows.where(condition)
-        self._write(rows.select(*self.source.names), "source", number)
+        self._write(rows.select(*[F.col(f.name).cast(f.dataType) for f in self.source.fields]), "source", number)
         touched = self._read("source", self.source, [number]).select(*self.group).distinct()
         results = compute(self.affected(touched, number))
         self._write(results.select(*[F.col(f.name).cast(f.dataType) for f in self.result.fields]), "rows", number)
