@@ -18,6 +18,7 @@ from parley.schemas import CLIENT_TYPE_DISTRIBUTION
 from parley.sources import jsonlines, tables
 from parley.sources.bucket_table import BucketTable
 from parley.sources.jsonlines import read_lines
+from parley.sources.schema_store import SchemaStore
 from parley.staging import stage, staging_path
 from parley.streaming import ingest
 
@@ -463,6 +464,39 @@ def json_malformed_capture(spark, sf_dir):
     return jsonlines.read_events(spark, path, schema).select("k", jsonlines.CORRUPT)
 
 
+def schema_widening(spark, sf_dir):
+    """Three landings: a count that is an int, then a double, then a text, with a flag that comes second. Types and rows after each."""
+    source, store, table = (staging_path(spark, x) for x in ("widening", "widening-schemas", "widening-rows"))
+    number, day = F.col("event_id").cast("string"), F.dayofmonth("ts")
+    count = F.when(day <= 10, number).when(day <= 20, F.concat(number, F.lit(".5"))).otherwise(F.concat(F.lit('"n'), number, F.lit('"')))
+    line = F.concat(F.lit('{"id":'), number, F.lit(',"count":'), count, F.when(day > 10, ',"late":true').otherwise(""), F.lit("}"))
+    lines = events(spark, sf_dir).select(line.alias("value"), F.greatest(F.ceil(day / 10), F.lit(1)).alias("part"))
+    kept, types = SchemaStore(spark, store), []
+    for part in ("part <= 1", "part = 2", "part >= 3"):
+        folder = f"{source}/{staging_path(spark, 'part').rsplit('/', 1)[1]}"
+        lines.where(part).select("value").write.text(folder)
+        schema = kept.update(source)
+        types.append(schema["count"].dataType.simpleString())
+        kept.append(jsonlines.rescue_events(spark.read.text(folder), schema), table)
+    rows = kept.read(table)
+    return rows.select("id", "count", "late", jsonlines.CORRUPT, F.lit(",".join(types)).alias("types"))
+
+
+def rescue_single_fields(spark, sf_dir):
+    """A line in three has a text for its number, one in five an undeclared field, one in seven is cut short."""
+    number = F.col("event_id").cast("string")
+    line = F.concat(
+        F.lit('{"id":'), number, F.lit(',"user":"u'), F.col("user_id").cast("string"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('","n":"x'), number, F.lit('"'))).otherwise(F.concat(F.lit('","n":'), number)),
+        F.when(F.col("event_id") % 5 == 0, ',"extra":{"a":[1,2]}').otherwise(""), F.lit(',"ratio":0.5}'))
+    path = staging_path(spark, "rescue")
+    events(spark, sf_dir).select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), number)).otherwise(line)).write.text(path)
+    schema = T.StructType.fromDDL("id long, user string, n int, ratio double")
+    # The folder is this run's own; its name is not part of the result.
+    rows = jsonlines.rescue_events(spark.read.text(path).select("value", "_metadata.file_path"), schema, F.lit("here"))
+    return rows.drop("file_path")
+
+
 def schema_evolve_union(spark, sf_dir):
     """Two appends, the second with a new column; read back merged."""
     rows = events(spark, sf_dir)
@@ -573,6 +607,14 @@ ORACLES = {
     "json_malformed_capture": """SELECT CASE WHEN event_id % 3 = 2 THEN CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) END AS k,
         CASE WHEN event_id % 3 = 0 THEN substr(props, 1, 4) WHEN event_id % 3 = 1 THEN regexp_replace(props, '([0-9]+)', '"n\\1"') END AS _rescued_data
         FROM events""",
+    "schema_widening": """SELECT event_id AS id, CASE WHEN day(ts) <= 10 THEN CAST(event_id AS VARCHAR) WHEN day(ts) <= 20 THEN concat(CAST(event_id AS VARCHAR), '.5')
+          ELSE concat('n', CAST(event_id AS VARCHAR)) END AS count, CASE WHEN day(ts) > 10 THEN true END AS late, CAST(NULL AS VARCHAR) AS _rescued_data,
+        'int,double,string' AS types FROM events""",
+    "rescue_single_fields": """SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS id, CASE WHEN event_id % 7 <> 0 THEN concat('u', CAST(user_id AS VARCHAR)) END AS user,
+        CASE WHEN event_id % 7 <> 0 AND event_id % 3 <> 0 THEN CAST(event_id AS INTEGER) END AS n, CASE WHEN event_id % 7 <> 0 THEN 0.5::DOUBLE END AS ratio,
+        CASE WHEN event_id % 7 = 0 THEN concat('{"_line":"{', event_id, '","_file_path":"here"}')
+          WHEN event_id % 5 = 0 OR event_id % 3 = 0 THEN concat('{', CASE WHEN event_id % 5 = 0 THEN '"extra":{"a":[1,2]},' ELSE '' END,
+            CASE WHEN event_id % 3 = 0 THEN concat('"n":"x', event_id, '",') ELSE '' END, '"_file_path":"here"}') END AS _rescued_data FROM events""",
     "schema_evolve_union": """SELECT event_id, user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS event_type,
         CAST(NULL AS VARCHAR) AS region FROM events""",
 }

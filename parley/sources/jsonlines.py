@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.text import json_to_map
-from parley.sources.tables import next_version, versions
 
 CORRUPT = "_rescued_data"
 
@@ -75,21 +74,13 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def stored_schema(spark: SparkSession, path: str, store: str, hints: str = "", sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema of a source that may gain columns.
+    """Schema of a source that may gain columns and widen types, kept below ``store``.
 
-    The newest schema kept below ``store`` plus the fields that the files of
-    ``path`` add to it; a changed schema is kept as the next version. Columns
-    found by one run are there in the next; known types stay.
+    Only files that no run has read yet are read; see :mod:`parley.sources.schema_store`.
     """
-    known = versions(spark, store)
-    schema = infer_schema(spark, path, hints, sampling_ratio)
-    if known:
-        old = load_schema(spark, f"{store}/version={known[-1]}")
-        schema = evolve_schema(old, schema)
-        if schema == old:
-            return old
-    save_schema(spark, schema, f"{store}/version={next_version(spark, store)}")
-    return schema
+    from parley.sources.schema_store import SchemaStore
+
+    return SchemaStore(spark, store).update(path, hints, sampling_ratio)
 
 
 def parse_events(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -129,3 +120,50 @@ def stream_events(
         .select("value", "_metadata", F.col("_metadata").alias("row_created_metadata"))
     )
     return parse_events(lines, schema)
+
+
+def _fits(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A variant as a typed value, and whether it is null or has the type's own JSON kind."""
+    typed = F.try_variant_get(value, "$", kind.simpleString())
+    shape = F.schema_of_variant(value)
+    if isinstance(kind, T.StringType):
+        return typed, F.lit(True)
+    if isinstance(kind, T.BooleanType):
+        own = shape == "BOOLEAN"
+    elif isinstance(kind, T.IntegralType):
+        own = shape == "BIGINT"
+    elif isinstance(kind, (T.FractionalType, T.DecimalType)):
+        own = shape.isin("BIGINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
+    elif isinstance(kind, (T.MapType, T.StructType)):
+        own = shape.startswith("OBJECT")
+    elif isinstance(kind, T.ArrayType):
+        own = shape.startswith("ARRAY")
+    else:
+        own = shape == "STRING"  # dates and times
+    fits = value.isNull() | (shape == "VOID") | F.coalesce(own & typed.isNotNull(), F.lit(False))
+    return F.when(fits, typed), fits
+
+
+def rescue_events(lines: DataFrame, schema: T.StructType, file_path: Column | None = None) -> DataFrame:
+    """The fields of ``schema`` from JSON text in ``value``, rescued field by field; other columns stay.
+
+    Each line is parsed once, into a variant. A field whose value does not have its type is null and goes, as it
+    stands, into the JSON object ``_rescued_data``, with undeclared fields and the file's path (``_file_path``) if given;
+    the line's other fields keep their columns. A line that is no JSON object goes there as ``_line``.
+    Lines without anything to rescue have none. Names match exactly. Blank lines are no events.
+    """
+    others = [c for c in lines.columns if c != "value"]
+    path = {} if file_path is None else {"__path": file_path}
+    read = lines.where(F.trim("value") != "").withColumns({**path, "__fields": F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")})
+    typed = {f.name: _fits(F.col("__fields")[f.name], f.dataType) for f in schema.fields}
+    names = F.array(*[F.lit(n) for n in typed]) if typed else F.array().cast("array<string>")
+    bad = F.array_compact(F.array(*[F.when(~fits, F.lit(n)) for n, (_, fits) in typed.items()])) if typed else names
+    rest = F.map_filter("__fields", lambda k, _: ~F.array_contains(names, k) | F.array_contains(bad, k))
+    rest = F.coalesce(rest, F.create_map(F.lit("_line"), F.col("value").cast("variant")))
+    if file_path is not None:
+        told = F.map_concat(rest, F.create_map(F.lit("_file_path"), F.col("__path").cast("variant")))
+    else:
+        told = rest
+    return read.select(
+        *[value.alias(n) for n, (value, _) in typed.items()],
+        F.when(F.size(rest) > 0, F.to_json(told)).alias(CORRUPT), *others)
