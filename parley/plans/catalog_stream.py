@@ -11,7 +11,7 @@ from parley.schemas import EVENT_HINTS, PROGRESS_LOG, RAW_EVENT
 from parley.sources.jsonlines import CORRUPT, stored_schema, stream_events
 from parley.staging import staging_path
 from parley.streaming import ingest
-from parley.streaming.listener import ProgressLog
+from parley.streaming.listener import ObservedLog, ProgressLog, read_observed
 
 KEYS, SEQUENCE = ["UserId", "Name"], ["time"]
 
@@ -50,10 +50,25 @@ def stream_upsert_latest(spark, sf_dir):
 
 
 def stream_observe(spark, sf_dir):
-    """Rows and rejected rows over all batches."""
-    source, root = _landed(spark, sf_dir, 4, broken=True), staging_path(spark, "observed")
-    stream = ingest.observed(stream_events(spark, source, RAW_EVENT, max_files_per_trigger=2))
-    ingest.start_upsert(stream, root, KEYS, SEQUENCE).awaitTermination()
+    """Rows and rejected rows over all batches, as a listener stored what each batch observed."""
+    source, root, folder = _landed(spark, sf_dir, 4, broken=True), staging_path(spark, "observed"), staging_path(spark, "observed-log")
+    listener = ObservedLog(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        stream = ingest.observed(stream_events(spark, source, RAW_EVENT, max_files_per_trigger=2))
+        query = ingest.start_upsert(stream, root, KEYS, SEQUENCE)
+        query.awaitTermination()
+        listener.wait_for_end(query.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    stored = read_observed(spark, folder).where(F.col("name") == "metric")
+    return stored.agg(*[F.sum(F.col("metrics")[c].cast("bigint")).alias(c) for c in ("cnt", "malformed")])
+
+
+def stream_figures(spark, sf_dir):
+    """The same from the figures that each batch stores beside its rows."""
+    source, root = _landed(spark, sf_dir, 4, broken=True), staging_path(spark, "figures")
+    ingest.start_upsert(stream_events(spark, source, RAW_EVENT, max_files_per_trigger=2), root, KEYS, SEQUENCE).awaitTermination()
     return ingest.read_figures(spark, root).agg(F.sum("cnt").alias("cnt"), F.sum("malformed").alias("malformed"))
 
 
@@ -200,6 +215,7 @@ ORACLES = {
     "stream_file_ingest": _RAW,
     "stream_upsert_latest": _RAW + " QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1",
     "stream_observe": "SELECT count(*) AS cnt, count(*) FILTER (WHERE second(ts) < 20) AS malformed FROM events",
+    "stream_figures": "SELECT count(*) AS cnt, count(*) FILTER (WHERE second(ts) < 20) AS malformed FROM events",
     "stream_file_audit": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(1 AS BIGINT) AS files FROM events GROUP BY 1",
     "stream_history": """SELECT CAST(ceil(count(DISTINCT CAST(ts AS DATE)) / 8.0) AS BIGINT) AS batches, count(DISTINCT CAST(ts AS DATE)) AS files,
         count(DISTINCT (user_id, event_type, ts)) AS rows_written, least(8, count(DISTINCT CAST(ts AS DATE))) AS most_files FROM events""",

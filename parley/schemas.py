@@ -96,6 +96,11 @@ PROGRESS_LOG = _struct(
     ("BATCH_INFO", _S), ("TERMINATION_EXCEPTION", _S),
 )
 
+#: Lines the listener of observed metrics writes.
+OBSERVED_LOG = _struct(
+    ("query_id", _S), ("run_id", _S), ("batch_id", _L), ("name", _S), ("time", _TS), ("metrics", _MAP),
+)
+
 #: Parts of a progress report the parser reads.
 PROGRESS_REPORT = (
     "id STRING, runId STRING, name STRING, timestamp STRING, batchId BIGINT, numInputRows BIGINT, "

@@ -1,4 +1,4 @@
-"""Query listener that keeps progress as JSON lines in a table folder."""
+"""Query listeners that keep progress and observed metrics as JSON lines in a table folder."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ import datetime as dt
 import json
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from parley.schemas import OBSERVED_LOG
+
 
 class ProgressLog(StreamingQueryListener):
     """Buffers events and appends them as text lines.
@@ -67,3 +70,47 @@ class ProgressLog(StreamingQueryListener):
     def wait_for_end(self, run_id, seconds: float = 60.0) -> bool:
         """Wait until the run's end is in the folder; events arrive some time after the query's end."""
         return self._end_of(str(run_id)).wait(seconds)
+
+
+class ObservedLog(ProgressLog):
+    """Keeps the observed metrics of every batch: a query's own reports are the last hundred only.
+
+    One line per query, batch and metric name. Lines are appended, at the latest at the query's end; a batch
+    that runs again after a restart appends again, and :func:`read_observed` counts it once.
+    """
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        ident = {"query_id": str(progress.id), "run_id": str(progress.runId), "batch_id": progress.batchId}
+        for name, figures in progress.observedMetrics.items():
+            told = {k: None if v is None else str(v) for k, v in figures.asDict().items()}
+            with self._lock:
+                self._lines.append(json.dumps({**ident, "name": name, "time": progress.timestamp, "metrics": told}))
+        if dt.datetime.now(dt.timezone.utc) - self._written >= self._rollover:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+        self._end_of(str(event.runId)).set()
+
+
+def read_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """``query_id, batch_id, name, run_id, time, metrics``: the metrics of every batch, as it ran last.
+
+    Appends that were repeated, and batches replayed by a later run, count once.
+    """
+    lines = spark.read.schema(OBSERVED_LOG).json(folder)
+    ident = ["query_id", "batch_id", "name"]
+    newest = F.max_by(F.struct("run_id", "time", "metrics"), F.struct("time", "run_id"))
+    return lines.groupBy(*ident).agg(newest.alias("last")).select(*ident, "last.*")
+
+
+def missing_batches(observed: DataFrame) -> DataFrame:
+    """``query_id, name, after, before``: gaps between the batches of a query, such as a lost listener leaves."""
+    # One row per batch and metric of a query, a number that grows with time and not with data.
+    order = Window.partitionBy("query_id", "name").orderBy("batch_id")
+    gaps = observed.withColumn("after", F.lag("batch_id").over(order))
+    return gaps.where(F.col("batch_id") > F.col("after") + 1).select("query_id", "name", "after", F.col("batch_id").alias("before"))
