@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,3 +41,22 @@ def user_channels(events: DataFrame) -> DataFrame:
         F.sum("item_count").cast("double").alias("interactions"),
         F.array_sort(F.collect_set("app_role_name")).alias("communication_channel"),
     )
+
+
+#: Standard error of a user sketch, relative to the count: 0.83 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+SKETCH_ERROR = 0.83 / 2 ** (SKETCH_BITS / 2)
+
+
+def user_sketches(events: DataFrame) -> DataFrame:
+    """A mergeable sketch of the users per date and client type, of at most a few KB each.
+
+    Sketches of any dates and types can be united later, which counts of distinct users cannot.
+    """
+    return events.groupBy("date", "client_type").agg(F.hll_sketch_agg(F.col("user_id").cast("string"), SKETCH_BITS).alias("users"))
+
+
+def users_of(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct users of all rows of sketches, per ``by``, with the bound that three of a thousand estimates miss."""
+    united = F.hll_sketch_estimate(F.hll_union_agg("users"))
+    return sketches.groupBy(*by).agg(united.alias("users")).withColumn("bound", F.ceil(F.col("users") * 3 * SKETCH_ERROR).cast("bigint"))

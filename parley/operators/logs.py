@@ -20,33 +20,42 @@ PHASES = {
 }
 
 
-def _detail(path: str) -> Column:
-    return F.get_json_object("details", f"$.{path}")
+#: Parts of an event's ``details`` that the reports read; nested parts stay JSON text.
+FLOW = "flow_definition STRING"
+FLOW_PARTS = "output_dataset STRING, input_datasets STRING, flow_type STRING, schema STRING"
+PROGRESS = f"flow_progress STRUCT<metrics: STRING, data_quality: STRUCT<expectations: {EXPECTATIONS}>>"
 
 
 def flow_definitions(log: DataFrame) -> DataFrame:
-    """Flows a pipeline declared, in time order."""
-    return log.where(_detail("flow_definition").isNotNull()).orderBy("timestamp").select(
-        _detail("flow_definition.output_dataset").alias("output_dataset"),
-        _detail("flow_definition.input_datasets").alias("input_datasets"),
-        _detail("flow_definition.flow_type").alias("flow_type"),
-        _detail("flow_definition.schema").alias("schema"),
-        _detail("flow_definition").alias("flow_definition"),
-    )
+    """Flows a pipeline declared, in time order.
+
+    The details are parsed once, and of flows their definition once more.
+    """
+    flows = log.select("timestamp", F.from_json("details", FLOW)["flow_definition"].alias("flow_definition"))
+    parts = flows.where(F.col("flow_definition").isNotNull()).withColumn("parts", F.from_json("flow_definition", FLOW_PARTS))
+    return parts.orderBy("timestamp").select("parts.*", "flow_definition")
 
 
 def expectation_report(log: DataFrame) -> DataFrame:
-    """Passed and failed records per expectation of every progress event."""
+    """Passed and failed records per expectation of every progress event; the details are parsed once."""
+    progress = log.select("id", F.from_json("details", PROGRESS)["flow_progress"].alias("progress"))
     return (
-        log.where(_detail("flow_progress.metrics").isNotNull())
-        .select(
-            "id",
-            F.explode(F.from_json(_detail("flow_progress.data_quality.expectations"), EXPECTATIONS)).alias("e"),
-        )
+        progress.where(F.col("progress.metrics").isNotNull())
+        .select("id", F.explode("progress.data_quality.expectations").alias("e"))
         .select("id", "e.dataset", "e.name", "e.failed_records", "e.passed_records")
     )
 
 
+def details_schema(log: DataFrame) -> DataFrame:
+    """``schema``: what the details of a log hold, as the DDL that :func:`pyspark.sql.functions.from_json` takes.
+
+    One aggregate over details parsed once; types that conflict become text. Use it before declaring parts to read.
+    """
+    merged = F.schema_of_variant_agg(F.try_parse_json("details"))
+    ddl = F.regexp_replace(F.regexp_replace(merged, "OBJECT", "STRUCT"), r"\b(VARIANT|VOID)\b", "STRING")
+    return log.agg(ddl.alias("schema"))
+
+
 def parse_progress(logs: DataFrame, source_file: Column | None = None) -> DataFrame:
     """Listener lines as typed rows: ids, rates, phases, backlog, status.
 

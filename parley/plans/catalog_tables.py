@@ -10,7 +10,7 @@ from parley.functions import columns as c
 from parley.functions import text as t
 from parley.functions.times import hour_folder, hours_between, safe_cast
 from parley.operators import audit as a
-from parley.operators import gold, quality, upsert as ups
+from parley.operators import gold, logs, quality, upsert as ups
 from parley.operators.latest import newest_per_key
 from parley.plans.gold_incremental import GoldTables
 from parley.plans.hourly_ingest import parse_lines, split_rejects
@@ -357,10 +357,11 @@ def landed_lines(spark, sf_dir, twice: bool = False, extra: bool = False) -> str
     if twice:
         lines = lines.unionByName(lines)
     path = staging_path(spark, "landing")
+    # By folder first: otherwise every task would open a file in every folder.
     lines.select(
         "value", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m"),
         F.date_format("ts", "dd").alias("d"), F.date_format("ts", "HH").alias("h"),
-    ).write.partitionBy("y", "m", "d", "h").text(path)
+    ).repartition("y", "m", "d", "h").write.partitionBy("y", "m", "d", "h").text(path)
     return path
 
 
@@ -437,6 +438,29 @@ def expect_report(spark, sf_dir):
     return quality.report(_channels(spark, sf_dir), quality.load_suite(spark, path))
 
 
+def expectation_round_trip(spark, sf_dir):
+    """Three rules in one pass over the events of two datasets; the report on the log that this wrote, with rows kept and in quarantine."""
+    root, log = staging_path(spark, "judged"), staging_path(spark, "judged-log")
+    suite = [quality.not_null("client_type"), quality.between("k", "0", "60"), quality.Expectation("odd user", "user_id % 2 = 1", "event_type = 'click'")]
+    rows = events(spark, sf_dir).withColumns({
+        "client_type": F.nullif("event_type", F.lit("error")), "k": t.extract_int("props", r'"k": (\d+)')})
+    counts = None
+    for dataset, part in (("early", F.to_date("ts") < "2024-01-16"), ("late", F.to_date("ts") >= "2024-01-16")):
+        good, bad = quality.split_by_expectations(rows.where(part), suite, f"{root}/{dataset}", log, dataset, 0)
+        told = good.agg(F.count(F.lit(1)).alias("kept")).crossJoin(bad.agg(F.count(F.lit(1)).alias("quarantined"))).withColumn("dataset", F.lit(dataset))
+        counts = told if counts is None else counts.unionByName(told)
+    return logs.expectation_report(spark.read.parquet(log).select("id", "timestamp", "details")).join(counts, "dataset")
+
+
+def sketch_users(spark, sf_dir):
+    """Users per client type over a week's sketches, and whether the exact count lies within the stated bound."""
+    rows = app_events(spark, sf_dir).where("date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'")
+    sketches = stage(gold.user_sketches(app_events(spark, sf_dir)), "user-sketches")
+    told = gold.users_of(sketches.where("date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"), ["client_type"])
+    exact = rows.groupBy("client_type").agg(F.count_distinct("user_id").alias("exact"))
+    return told.join(exact, "client_type").select("client_type", "exact", (F.abs(F.col("users") - F.col("exact")) <= F.col("bound")).alias("within"))
+
+
 def schema_enforce(spark, sf_dir):
     rows = gold.client_type_distribution(app_events(spark, sf_dir))
     return tables.enforce_schema(rows, CLIENT_TYPE_DISTRIBUTION).withColumn("percent_users", F.round("percent_users", 6))
@@ -602,6 +626,14 @@ ORACLES = {
         SELECT 'date matches %Y-%m-%d' AS expectation, count(*) AS evaluated, CAST(0 AS BIGINT) AS failed, true AS success FROM ch UNION ALL
         SELECT 'interactions between 0 and 700', count(*), count(*) FILTER (WHERE interactions NOT BETWEEN 0 AND 700),
           count(*) FILTER (WHERE interactions NOT BETWEEN 0 AND 700) = 0 FROM ch""",
+    "expectation_round_trip": """WITH e AS (SELECT *, CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN 'early' ELSE 'late' END AS dataset,
+          event_type = 'error' AS f0, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) > 60 AS f1, event_type = 'click' AND user_id % 2 <> 1 AS f2 FROM events),
+        s AS (SELECT dataset, count(*) AS n, count(*) FILTER (WHERE f0) AS f0, count(*) FILTER (WHERE f1) AS f1, count(*) FILTER (WHERE f2) AS f2,
+          count(*) FILTER (WHERE f0 OR f1 OR f2) AS quarantined FROM e GROUP BY 1),
+        r AS (SELECT dataset, n, quarantined, unnest(['client_type not null', 'k between 0 and 60', 'odd user']) AS name, unnest([f0, f1, f2]) AS failed FROM s)
+        SELECT concat(dataset, '-0') AS id, dataset, name, failed AS failed_records, n - failed AS passed_records, n - quarantined AS kept, quarantined FROM r""",
+    "sketch_users": _APP + """ SELECT client_type, count(DISTINCT user_id) AS exact, true AS within FROM app
+        WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY 1""",
     "schema_hints": """SELECT CAST(event_id AS VARCHAR) AS item_count, regexp_extract(props, '"k": ([0-9]+)', 1) AS k,
         event_type AS name FROM events""",
     "json_malformed_capture": """SELECT CASE WHEN event_id % 3 = 2 THEN CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) END AS k,

@@ -107,13 +107,27 @@ def run_hourly_ingest(
     ).partitionBy("partition_key").parquet(f"{table}/changes/batch_id={version}")
     bad.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={version}")
 
+    known = _stored_before(spark, table, parsed, version)
     audit = file_audit(
-        lines, lines.count(), version, "MERGE" if version else "CREATE", {"numOutputRows": stored.get["count"]}
+        lines, lines.count(), version, "MERGE" if version else "CREATE",
+        {"numOutputRows": stored.get["count"], "numTargetRowsInserted": stored.get["count"] - known, "numTargetRowsUpdated": known},
     )
     tables.enforce_schema(audit, FILE_AUDIT).write.mode("overwrite").parquet(f"{audit_path}/batch_id={version}")
     return version
 
 
+def _stored_before(spark: SparkSession, table: str, parsed: DataFrame, version: int) -> int:
+    """How many keys of a load earlier loads have stored; only their folders of the load's hours are read."""
+    earlier = [n for n in tables.versions(spark, f"{table}/changes", "batch_id") if n < version]
+    hours = [r[0] for r in parsed.where("parsed IS NOT NULL").select("partition_key").distinct().collect()]
+    if not earlier or not hours:
+        return 0
+    held = spark.read.schema("line_md5 string, partition_key string").option("basePath", f"{table}/changes").parquet(
+        *[f"{table}/changes/batch_id={n}" for n in earlier])
+    held = held.where(F.col("partition_key").isin(hours))
+    return parsed.where("parsed IS NOT NULL").select(*KEYS).join(held, KEYS, "left_semi").count()
+
+
 def read_bronze(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
     """The ingested rows: of a line stored by several loads, the last one."""
     return read_current(spark, table, KEYS, ["batch_id"], upto=upto)
