@@ -16,7 +16,7 @@ numbers: they are computed in doubles where these are exact, else in unbounded
 integers, and clipped to 64 bits.
 
 Vectors that are null or hold a null, NaN or infinite component, vectors of
-another length than the longest, and rows without id take no part. Of rows with
+another number of components than most (of equally many the greater), and rows without id take no part. Of rows with
 equal ids the smallest vector counts. An empty table gives no rows; fewer
 candidates than k give all of them.
 """
@@ -154,9 +154,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     small_batches(vectors.sparkSession, 2048)
     rows = vectors.filter(F.col("id").isNotNull() & F.col("impacts").isNotNull() & ~F.exists("impacts", lambda x: x.isNull()))
     rows = stage(rows.groupBy("id").agg(F.min("impacts").alias("impacts")), "topk-vectors")
-    n, n_queries, width = rows.agg(F.count("*"), F.coalesce(F.sum(is_query.cast("long")), F.lit(0)), F.max(F.size("impacts"))).first()
-    if not n_queries or not width:
+    widths = rows.groupBy(F.size("impacts").alias("width")).agg(F.count("*").alias("n"), F.coalesce(F.sum(is_query.cast("long")), F.lit(0)).alias("queries"))
+    usual = widths.filter("width > 0").orderBy(F.desc("n"), F.desc("width")).first()
+    if usual is None or not usual.queries:
         return vectors.sparkSession.createDataFrame([], RESULT)
+    n, n_queries, width = usual.n, usual.queries, usual.width
     rows = rows.filter(F.size("impacts") == width)
     shards, groups = -(-n // (BLOCK * SHARD)), -(-n_queries // GROUP)
     blocks = stage(pack_blocks(rows, shards), "topk-blocks")

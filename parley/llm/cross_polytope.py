@@ -5,12 +5,15 @@ a fast Hadamard transform) and assigned to the nearest signed axis. Each of
 ``TABLES`` tables uses rotations of its own; its key is the axis of
 ``AXES_PER_KEY`` rotations in turn. Every vector is stored once per table. A
 query looks into the likeliest keys of each table (the share ``PROBES`` of the
-axes), that is the combinations of axes with the largest sum of its rotated
+axes, ``UNEVEN_PROBES`` where lengths differ), that is the combinations of axes with the largest sum of its rotated
 coordinates, and the candidates found are scored exactly on the original vectors.
 
-The nearness is the inner product, so vectors of different lengths are hashed
-with one more component that gives all of them the length of the longest;
-a query gets 0 there. Where all lengths are equal it would be 0 and is left out.
+The nearness is the inner product, so vectors of different lengths are dealt to ranges of length, each up to ``RANGE``
+times the next, and hashed with one more component that gives a vector the upper end of its range; a query gets 0 there. So
+one very long vector does not flatten the others. Where all lengths are equal the component would be 0 and is left out.
+
+A query for which the buckets give fewer rows than are due is compared with all vectors, in blocks; so are all queries of
+a table of at most ``FEW`` times k vectors, of which the k nearest are a large part and lie in all directions.
 
 Buckets are packed into chunks of bounded size, as are the queries that look
 into them; the join on the key pairs chunks, not vectors, so a bucket that
@@ -22,8 +25,8 @@ has a cosine of 0.2 to 0.4 and hashing saves little; recall against brute force
 measured in the tests. Larger tables of clustered vectors want ``axes_per_key`` 2.
 
 Vectors that are null, zero, or hold a null, NaN or infinite component, vectors
-of another length than the longest, and rows without id take no part. Of rows
-with equal ids the smallest vector counts. An empty table gives no rows.
+of another number of components than most (of equally many the greater), and rows without id take no part, for no inner
+product with the others exists. Of rows with equal ids the smallest vector counts. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +41,11 @@ from parley.staging import stage
 
 TABLES, PROBES, AXES_PER_KEY = 4, 0.28, 1
 CHUNK, QUERY_CHUNK = 1024, 512
+#: Ratio of the ends of a range of lengths.
+RANGE = 1.25
+#: Share of the axes that is probed where lengths differ: long neighbours lie at wider angles.
+UNEVEN_PROBES = 0.36
+FEW = 8
 #: Rows that a task gathers before it keeps the best of them.
 GATHERED = 500_000
 
@@ -105,18 +113,22 @@ def probes(x: np.ndarray, tables: int, axes: int, share: float) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def _hashed(vectors: DataFrame, longest: float | None, tables: int, axes: int, share: float | None = None) -> DataFrame:
-    """``id, vector, table, key``: a row per table, or with ``share`` per table and key to look into.
+def beyond(x: np.ndarray) -> np.ndarray:
+    """The component that gives each row the upper end of its range of lengths."""
+    square = (x**2).sum(axis=1)
+    end = RANGE ** np.ceil(np.log(square) / (2 * np.log(RANGE)) - 1e-9)
+    return np.sqrt(np.maximum(0.0, end**2 - square))
+
 
-    ``longest`` is the greatest length, None if all are equal.
-    """
+def _hashed(vectors: DataFrame, uneven: bool, tables: int, axes: int, share: float | None = None) -> DataFrame:
+    """``id, vector, table, key``: a row per table, or with ``share`` per table and key to look into."""
 
     @F.pandas_udf("array<array<long>>")
     def placed(batch: pd.Series) -> pd.Series:
         x = np.array(batch.tolist(), float)
         extra = None
-        if longest is not None:
-            extra = np.zeros(len(x)) if share else np.sqrt(np.maximum(0.0, longest**2 - (x**2).sum(axis=1)))
+        if uneven:
+            extra = np.zeros(len(x)) if share else beyond(x)
         wide = padded(x, extra)
         found = probes(wide, tables, axes, share) if share else keys(wide, tables, axes)[:, :, None]
         return pd.Series([list(x) for x in found], dtype=object)
@@ -133,8 +145,22 @@ def _chunked(rows: DataFrame, size: int, name: str) -> DataFrame:
     return packed.select("table", "key", F.col("m.id").alias(f"{name}_ids"), F.flatten("m.vector").alias(f"{name}_values"))
 
 
+def _blocks(rows: DataFrame, queries: DataFrame, count: int) -> DataFrame:
+    """``query_ids, query_values, doc_ids, doc_values``: chunks of queries beside all chunks of rows."""
+    shards = -(-count // CHUNK)
+    asked = -(-queries.count() // QUERY_CHUNK)
+
+    def packed(df, size, name):
+        chunk = F.pmod(F.xxhash64("id"), F.lit(size)).alias("chunk")
+        m = df.groupBy(chunk).agg(F.collect_list(F.struct("id", "vector")).alias("m"))
+        return m.select("chunk", F.col("m.id").alias(f"{name}_ids"), F.flatten("m.vector").alias(f"{name}_values"))
+
+    left = packed(queries, asked, "query").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
+    return left.join(packed(rows, shards, "doc"), "chunk").drop("chunk")
+
+
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int, tables: int = TABLES, probe_share: float = PROBES, axes: int = AXES_PER_KEY,
+    vectors: DataFrame, is_query: Column, k: int, tables: int = TABLES, probe_share: float | None = None, axes: int = AXES_PER_KEY,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``vectors`` (``id``, ``vector``) that are queries."""
     spark = vectors.sparkSession
@@ -142,15 +168,16 @@ def nearest(
     rows = vectors.select("id", F.col("vector").cast("array<double>").alias("vector")).filter(F.col("id").isNotNull() & finite)
     rows = stage(rows.groupBy("id").agg(F.min("vector").alias("vector")), "ann-vectors")
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    width, longest, shortest = rows.agg(F.max(F.size("vector")), F.max(square), F.min(square)).first()
-    if not width:
+    widths = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.max(square).alias("longest"), F.min(square).alias("shortest"))
+    usual = widths.orderBy(F.desc("n"), F.desc("width")).first()
+    if usual is None:
         return spark.createDataFrame([], RESULT)
     # Chunks are large rows; few of them make a batch.
     small_batches(spark, 64)
-    rows = rows.filter(F.size("vector") == width)
-    length = None if longest - shortest <= 1e-6 * longest else float(longest) ** 0.5
-    index = _chunked(_hashed(rows, length, tables, axes), CHUNK, "doc")
-    asked = _chunked(_hashed(rows.filter(is_query), length, tables, axes, probe_share), QUERY_CHUNK, "query")
+    rows = rows.filter(F.size("vector") == usual.width)
+    queries = rows.filter(is_query)
+    uneven = usual.longest - usual.shortest > 1e-6 * usual.longest
+    share = probe_share or (UNEVEN_PROBES if uneven else PROBES)
 
     def best(out):
         a, b, s = (np.concatenate(x) for x in zip(*out))
@@ -192,11 +219,23 @@ def nearest(
         if out:
             yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), best(out))))
 
-    pairs = asked.join(index, ["table", "key"]).select("query_ids", "query_values", "doc_ids", "doc_values")
-    # A candidate met in several tables has one score.
-    found = pairs.mapInPandas(score, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def ranked(pairs: DataFrame) -> DataFrame:
+        # A candidate met in several tables has one score.
+        found = pairs.mapInPandas(score, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    if usual.n <= FEW * k:
+        return ranked(_blocks(rows, queries, usual.n))
+    index = _chunked(_hashed(rows, uneven, tables, axes), CHUNK, "doc")
+    asked = _chunked(_hashed(queries, uneven, tables, axes, share), QUERY_CHUNK, "query")
+    found = stage(ranked(asked.join(index, ["table", "key"]).select("query_ids", "query_values", "doc_ids", "doc_values")), "ann-found")
+    enough = found.filter(F.col("rank") == min(k, usual.n - 1)).select(F.col("query_id").alias("id"))
+    short = stage(queries.join(enough, "id", "left_anti"), "ann-short")
+    if short.isEmpty():
+        return found
+    whole = ranked(_blocks(rows, short, usual.n))
+    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(whole)
 
 
 def op9_nearest(spark, sf_dir):

@@ -36,6 +36,8 @@ def test_queries_give_a_row_per_document(spark, name):
     got = catalog.QUERIES[name](spark, folder)
     if name == "op9_nearest":
         assert got.count() == 20 * got.select("query_id").distinct().count()
+    elif name == "op13_spelling_variants":
+        assert got.count() == got.select("word").distinct().count() > 0
     else:
         ids = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id")
         assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in ids.collect())
@@ -218,6 +220,44 @@ def test_nearest_recall(spark):
     assert cross_polytope.nearest(df.limit(0), F.col("id") == 0, 3).count() == 0
 
 
+def _lengths(kind, rng, n):
+    if kind == "one long":
+        return np.r_[20.0, np.ones(n - 1)]
+    return rng.lognormal(0, 0.5, n) if kind == "lognormal" else np.ones(n)
+
+
+@pytest.mark.parametrize("n, kind", [(2, "unit"), (12, "unit"), (25, "one long"), (200, "lognormal"), (3000, "unit"), (3000, "one long"), (3000, "lognormal")])
+def test_nearest_gives_all_rows_due(spark, n, kind):
+    """Directions without any structure, in small tables and with uneven lengths."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x *= (_lengths(kind, rng, n) / np.linalg.norm(x, axis=1))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    got = {}
+    for r in cross_polytope.nearest(df, F.col("id") % 20 == 0, 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    scores, hits, due = x @ x.T, 0, min(20, n - 1)
+    for q in range(0, n, 20):
+        own = sorted(got[q])
+        assert [r for r, _, _ in own] == list(range(1, due + 1)) and all(abs(s - scores[q, i]) < 1e-9 for _, i, s in own)
+        hits += sum(s >= np.sort(np.delete(scores[q], q))[-due] - 1e-9 for _, _, s in own)
+    assert hits / (len(got) * due) >= 0.9
+
+
+@pytest.mark.parametrize("strays", [1, 9])
+def test_rows_of_another_width_do_not_replace_the_others(spark, strays):
+    """Searches run among vectors of the usual number of components, however long the strays are."""
+    x = np.random.default_rng(4).integers(-5, 6, size=(40, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100 + i, [1] * 6) for i in range(strays)]
+    exact = block_topk.top_k(spark.createDataFrame(rows, "id long, impacts array<bigint>"), F.col("id") % 20 == 0, 5).collect()
+    rows = [(i, [float(c) for c in v]) for i, v in rows]
+    near = cross_polytope.nearest(spark.createDataFrame(rows, "id long, vector array<double>"), F.col("id") % 20 == 0, 5).collect()
+    for found in (exact, near):
+        assert sorted((r.query_id, r.rank) for r in found) == [(q, r) for q in (0, 20) for r in range(1, 6)]
+        assert all(r.vec_id < 40 for r in found)
+    assert {(r.query_id, r.vec_id, r.score) for r in exact} == {(r.query_id, r.vec_id, int(r.score)) for r in near}
+
+
 @needs_tables
 def test_piece_digests(spark):
     from parley.llm import pieces
