@@ -9,10 +9,11 @@ longer one that occurs at least 80 % as often are dropped.
 1. *Words* are counted per task and summed. Words below ``SUPPORT`` end every phrase. Tasks know the others
    by a bit table of fixed size (8 MB, by hash), which may let rare words pass but never stops a frequent one.
 2. *Routing.* Every place of a text is a suffix pointer: the hashes of its next words, up to the next rare word
-   or piece border. Equal suffixes of a task are one row with a weight. A suffix is routed by its leading words up to the first that is not
+   or piece border. Equal suffixes of a block are one with a weight. A suffix is routed by its leading words up to the first that is not
    hot; hot words hold more than 1 / ``routes`` of all words, so there are fewer than ``routes`` of them and no
-   route gets a larger share. Phrases of hot words only are summed beside it.
-3. *Sorting.* Blocks of whole routes are sorted by a three-way quicksort, word by word: pointers whose word
+   route gets a larger share. Phrases of hot words only are summed beside it. A block's suffixes for one bucket of
+   routes travel packed as one row, the most frequent words in two bytes.
+3. *Sorting.* Buckets, as many as the session's shuffle partitions ask for, are sorted by a three-way quicksort, word by word: pointers whose word
    equals the pivot's are sorted by the next one, and their weight is the count of the phrase so far. A part
    of a weight below ``SUPPORT`` is abandoned at once, for all phrases in it are as rare.
 4. Frequent phrases get their words back, and cuts and longer phrases are looked up by equi-joins.
@@ -31,6 +32,8 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,9 +47,14 @@ TOP = 2000
 TABLE_BITS = 26
 #: Distinct words a task counts before it hands them on, and hashes it remembers.
 HELD_WORDS = 200_000
-#: Suffixes a task combines at once, and a least size of the blocks sorted at once.
+#: Places of texts whose suffixes a task combines and packs at once.
 BLOCK = 1 << 19
+#: Buckets of routes for each shuffle partition; a bucket is sorted at once.
+BUCKETS = 4
+#: Words with short codes: the most frequent ones, half a MB of hashes.
+BOOK = (1 << 16) - 2
 
+_ESCAPE = (1 << 16) - 1
 _BORDER = b"\xff"  # in no UTF-8 text
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 _TO_BORDERS = bytes.maketrans(_STOPS + b"\t", _BORDER * len(_STOPS) + b" ")
@@ -125,34 +133,101 @@ def _window(ids: np.ndarray) -> list[np.ndarray]:
     return columns
 
 
-def _frame(columns, weight, lead) -> pd.DataFrame:
-    return pd.DataFrame({**dict(zip(_WORDS, columns)), "weight": weight, "lead": np.broadcast_to(lead, len(weight)).astype(np.int32)})
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
 
-def _suffix_rows(ids: np.ndarray, hot: np.ndarray):
-    """Suffixes with the number of words that route them, and phrases of hot words only, routed by 0."""
-    columns = _window(ids)
+def _coded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, 0 first, and the place of each id among them."""
+    words, code = np.unique(np.r_[ids, 0], return_inverse=True)
+    border = int(np.searchsorted(words, 0))
+    code = np.where(code < border, code + 1, np.where(code == border, 0, code))[:-1]
+    return np.r_[0, np.delete(words, border)], code
+
+
+def _suffix_rows(ids: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Words of a block; its suffixes as places among them, with weights and the number of words that route
+    them; and with number 0 phrases of hot words only."""
+    words, code = _coded(ids)
+    columns = _window(code)
     keep = columns[1] != 0
-    columns, weight = combined([c[keep] for c in columns], np.ones(int(keep.sum()), np.int64))
-    if not len(weight):
-        return
-    is_hot = [np.isin(c, hot) for c in columns]
-    heat = np.cumprod(is_hot, axis=0)  # whether the first words up to here are all hot
+    # Two places fit into one number, which halves the sorting.
+    paired = [columns[i][keep] << 32 | columns[i + 1][keep] for i in (0, 2)]
+    paired, weight = combined(paired, np.ones(int(keep.sum()), np.int64))
+    columns = [x for p in paired for x in (p >> 32, p & 0xFFFFFFFF)]
+    is_hot = np.isin(words, hot)
+    heat = np.cumprod([is_hot[c] for c in columns], axis=0)  # whether the first words up to here are all hot
     leading = heat.sum(axis=0)
     mixed = (leading < LONGEST) & (np.choose(np.minimum(leading, LONGEST - 1), columns) != 0)
-    yield _frame([c[mixed] for c in columns], weight[mixed], leading[mixed] + 1)
+    parts = [([c[mixed] for c in columns], weight[mixed], leading[mixed] + 1)]
     for depth in range(2, LONGEST + 1):
         at = heat[depth - 1] > 0
         short, sums = combined([c[at] if i < depth else np.zeros(int(at.sum()), np.int64) for i, c in enumerate(columns)], weight[at])
-        yield _frame(short, sums, 0)
+        parts.append((short, sums, np.zeros(len(sums), np.int64)))
+    columns, weight, lead = [np.concatenate([p[0][i] for p in parts]) for i in range(LONGEST)], *(np.concatenate([p[k] for p in parts]) for k in (1, 2))
+    return words, columns, weight, lead
+
 
+def _planes(x: np.ndarray, kind) -> bytes:
+    """Numbers byte by byte, all first bytes first: the higher ones are nearly all alike."""
+    return x.astype(kind).view(np.uint8).reshape(len(x), -1).T.tobytes()
 
-def suffixes(docs: DataFrame, bits, hot) -> DataFrame:
-    """``w1..w4, weight, lead``: suffixes of two frequent words or more, combined per task."""
+
+def _packed(words: np.ndarray, columns: list[np.ndarray], weight: np.ndarray, lead: np.ndarray, buckets: int, salt: int, book: np.ndarray) -> pd.DataFrame:
+    """Rows by bucket of their route. Words of ``book`` (sorted) take two bytes, others ten."""
+    spelled = words.view(np.uint64)
+    route = spelled[columns[0]]
+    for i in range(1, LONGEST):
+        further = (lead > i) | (lead == 0)
+        route = np.where(further, _mixed(route * np.uint64(0x9E3779B97F4A7C15) + spelled[columns[i]]), route)
+    # Phrases of hot words are summed again at the end, so any bucket may take a part of them.
+    bucket = (_mixed(route + np.where(lead == 0, salt, 0).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    arrays = [x[order] for x in (*columns, weight, lead)]
+    used, first = np.unique(bucket[order], return_index=True)
+    at = np.searchsorted(book, words)
+    listed = (at < len(book)) & (np.append(book, 0)[at] == words)
+    code = np.where(words == 0, 0, np.where(listed, at + 1, _ESCAPE))
+    pack, out = zstandard.ZstdCompressor(level=1).compress, []
+    for a, b in zip(first, [*first[1:], len(order)]):
+        own = np.concatenate([c[a:b] for c in arrays[:LONGEST]])
+        codes = code[own]
+        body = [_planes(codes, np.uint16), _planes(arrays[LONGEST][a:b], np.uint64), _planes(arrays[LONGEST + 1][a:b], np.uint8)]
+        out.append(pack(b"".join([np.uint32(b - a).tobytes(), *body, words[own[codes == _ESCAPE]].tobytes()])))
+    return pd.DataFrame({"bucket": used.astype(np.int32), "packed": out})
+
+
+def _unpacked(packed, book: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    unpack, parts = zstandard.ZstdDecompressor().decompress, []
+    spelled = np.r_[0, book]
+    for blob in packed:
+        data = unpack(blob)
+        rows, at, numbers = int(np.frombuffer(data, np.uint32, 1)[0]), 4, []
+        for kind, size in ((np.uint16, LONGEST * rows), (np.uint64, rows), (np.uint8, rows)):
+            width = np.dtype(kind).itemsize
+            planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
+            numbers.append(np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64))
+            at += size * width
+        codes, weight, lead = numbers
+        words = spelled[np.where(codes == _ESCAPE, 0, codes)]
+        words[codes == _ESCAPE] = np.frombuffer(data, np.uint8, -1, at).view(np.int64) if at < len(data) else 0
+        parts.append([*words.reshape(LONGEST, rows), weight, lead])
+    arrays = [np.concatenate([p[i] for p in parts]) for i in range(LONGEST + 2)]
+    return arrays[:LONGEST], arrays[LONGEST], arrays[LONGEST + 1]
+
+
+def suffixes(docs: DataFrame, bits, hot: np.ndarray, book, buckets: int) -> DataFrame:
+    """``bucket, packed``: suffixes of two frequent words or more, combined and packed per block of a task."""
 
     def emit(batches):
         ids: dict[str, _Ids] = {}
         held, size = [], 0
+        salt = TaskContext.get().partitionId() % 64
+
+        def block():
+            return _packed(*_suffix_rows(np.concatenate(held), hot), buckets, salt, book.value)
+
         for batch in batches:
             for lang, text in batch[["lang", "text"]].itertuples(index=False):
                 words = tokens(text)
@@ -161,14 +236,14 @@ def suffixes(docs: DataFrame, bits, hot) -> DataFrame:
                 held.append(np.zeros(1, np.int64))
                 size += len(words) + 1
                 if size >= BLOCK:
-                    yield from _suffix_rows(np.concatenate(held), hot)
+                    yield block()
                     held, size = [], 0
                     if sum(map(len, ids.values())) > HELD_WORDS:
                         ids.clear()
         if held:
-            yield from _suffix_rows(np.concatenate(held), hot)
+            yield block()
 
-    return docs.mapInPandas(emit, ", ".join(f"{w} long" for w in _WORDS) + ", weight long, lead int")
+    return docs.mapInPandas(emit, "bucket int, packed binary")
 
 
 def multikey_quicksort(columns: list[np.ndarray], weight: np.ndarray, least: int = SUPPORT):
@@ -205,42 +280,22 @@ def multikey_quicksort(columns: list[np.ndarray], weight: np.ndarray, least: int
     return np.array(at_row, np.int64), np.array(length, np.int64), np.array(total, np.int64)
 
 
-def frequent_phrases(rows: DataFrame, least: int = SUPPORT) -> DataFrame:
+def frequent_phrases(packed: DataFrame, book, least: int = SUPPORT) -> DataFrame:
     """``w1..w4, f`` of the phrases that occur ``least`` times, 0 where a phrase has no word."""
-    leading = [F.when(F.col("lead") > i, F.col(w)) for i, w in enumerate(_WORDS)]
-    route = F.xxhash64(*[F.when(F.col("lead") == 0, F.col(w)).otherwise(x) for w, x in zip(_WORDS, leading)])
 
-    def phrases(block: pd.DataFrame) -> pd.DataFrame:
-        plain = block["lead"].to_numpy() > 0
-        columns = [block[w].to_numpy(np.int64) for w in _WORDS]
-        weight = block["weight"].to_numpy(np.int64)
+    def sort(bucket: pd.DataFrame) -> pd.DataFrame:
+        columns, weight, lead = _unpacked(bucket["packed"], book.value)
+        plain = lead > 0
         own = [c[plain] for c in columns]
         at, length, total = multikey_quicksort(own, weight[plain], least)
-        lead = block["lead"].to_numpy()[plain]
         # Phrases shorter than their route lie in several routes and are counted with the hot ones.
-        whole = length >= lead[at]
+        whole = length >= lead[plain][at]
         at, length, total = at[whole], length[whole], total[whole]
         found = [np.where(length > i, c[at], 0) for i, c in enumerate(own)]
         hot, sums = combined([c[~plain] for c in columns], weight[~plain])
         return pd.DataFrame({**{w: np.r_[a, b] for w, a, b in zip(_WORDS, found, hot)}, "f": np.r_[total, sums]})
 
-    def sort(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size >= BLOCK:
-                block = pd.concat(held, ignore_index=True)
-                routes = block["route"].to_numpy(np.int64)
-                cut = int(np.searchsorted(routes, routes[-1]))  # the last route may go on
-                if cut:
-                    yield phrases(block.iloc[:cut])
-                held, size = [block.iloc[cut:]], len(block) - cut
-        if held:
-            yield phrases(pd.concat(held, ignore_index=True))
-
-    routed = rows.withColumn("route", route).repartition("route").sortWithinPartitions("route")
-    found = routed.mapInPandas(sort, ", ".join(f"{w} long" for w in _WORDS) + ", f long")
+    found = packed.groupBy("bucket").applyInPandas(sort, ", ".join(f"{w} long" for w in _WORDS) + ", f long")
     return found.groupBy(*_WORDS).agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
 
@@ -256,7 +311,10 @@ def phrase_counts(docs: DataFrame, least: int = SUPPORT) -> tuple[DataFrame, Dat
     everything = counts.agg(F.sum("n")).first()[0] or 0
     hot = np.array([r.h for r in known.filter(F.col("n") > everything // routes).select("h").collect()], np.int64)
     bits = spark.sparkContext.broadcast(bit_table(spark, known))
-    found = frequent_phrases(suffixes(docs, bits, hot), least)
+    buckets = max(16, BUCKETS * partitions(spark))
+    often = known.orderBy(F.desc("n"), "h").limit(BOOK).select("h").collect()
+    book = spark.sparkContext.broadcast(np.array(sorted(r.h for r in often), np.int64))
+    found = frequent_phrases(suffixes(docs, bits, hot, book, buckets), book, least)
     for w in _WORDS:
         words = known.select(F.col("h").alias(w), F.col("word").alias(f"_{w}"), *([F.col("lang")] if w == "w1" else []))
         found = found.join(words, w, "inner" if w in _WORDS[:2] else "left")
