@@ -107,11 +107,11 @@ def run_hourly_ingest(
     ).partitionBy("partition_key").parquet(f"{table}/changes/batch_id={version}")
     bad.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={version}")
 
-    known = _stored_before(spark, table, parsed, version)
-    audit = file_audit(
-        lines, lines.count(), version, "MERGE" if version else "CREATE",
-        {"numOutputRows": stored.get["count"], "numTargetRowsInserted": stored.get["count"] - known, "numTargetRowsUpdated": known},
-    )
+    metrics = {"numOutputRows": stored.get["count"]}
+    if version:
+        known = _stored_before(spark, table, parsed, version)
+        metrics |= {"numTargetRowsInserted": stored.get["count"] - known, "numTargetRowsUpdated": known}
+    audit = file_audit(lines, lines.count(), version, "MERGE" if version else "CREATE", metrics)
     tables.enforce_schema(audit, FILE_AUDIT).write.mode("overwrite").parquet(f"{audit_path}/batch_id={version}")
     return version
 

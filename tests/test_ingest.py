@@ -67,6 +67,21 @@ def test_hourly_ingest(spark):
     assert start == dt.datetime(2022, 11, 10, 2)
 
 
+def test_merges_tell_what_they_inserted(spark, tmp_path):
+    source, table, audit, rejects = (f"{tmp_path}/{x}" for x in ("source", "bronze", "audit", "rejects"))
+    folder = f"{source}/y=2022/m=11/d=10/h="
+    _write(f"{folder}02/m=00", "a.json", [_event("1", "t"), _event("2", "t"), "bad"])
+    run = lambda a, b: h.run_hourly_ingest(
+        spark, source, table, audit, rejects, ["OperationId"], dt.datetime(2022, 11, 10, a), dt.datetime(2022, 11, 10, b))
+    run(1, 2)
+    # Two lines of a read hour are new beside the two known ones; a later hour holds a line of the same text, which is another key.
+    _write(f"{folder}02/m=00", "b.json", [_event("3", "t"), _event("4", "t")])
+    _write(f"{folder}03/m=00", "c.json", [_event("1", "t")])
+    run(1, 3)
+    told = {r.version: r.operation_metrics for r in tables.read_appended(spark, audit).collect()}
+    assert told == {0: {"numOutputRows": "2"}, 1: {"numOutputRows": "5", "numTargetRowsInserted": "3", "numTargetRowsUpdated": "2"}}
+
+
 def test_undeclared_fields_are_kept(spark, tmp_path):
     one, two = _event("1", "2022-11-10T02:10:00Z"), _event("2", "2022-11-10T02:10:00Z", Fresh={"deep": 1}, Other="o")
     _write(f"{tmp_path}/y=2022/m=11/d=10/h=02/m=00", "a.json", [one, two, "", "[broken"])
