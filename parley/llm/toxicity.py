@@ -69,6 +69,9 @@ def _fold(code: int) -> int:
 _FOLD = np.array([_fold(c) for c in range(_FOLD_LIMIT)], dtype=np.int32)
 
 
+_FOLDED = _FOLD.tolist()
+
+
 def fold_codes(text: str) -> np.ndarray:
     """The text as letter numbers, 0 for all else."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -106,6 +109,8 @@ def trigram_costs(counts: DataFrame) -> np.ndarray:
 _RUN = re.compile(r"(?<!\w)\w(?:[ .\-_*~]\w){2,}(?!\w)")
 _DOUBLE = re.compile(r"(.)\1")
 _WORDS = re.compile(r"[a-z]+")
+_LETTER_RUNS = re.compile(r"[^\W\d_]+")
+_LETTERS = "`abcdefghijklmnopqrstuvwxyz"
 _STRIP = ".,;:!?\"'()[]{}…»«"
 
 
@@ -117,43 +122,61 @@ def _chained(read: tuple | None) -> str:
     return "".join(reversed(out))
 
 
-def restore(token: str, costs: np.ndarray) -> str:
+def restore(token: str, costs: np.ndarray | list[float]) -> str:
     """The likeliest plain reading of a disguised token; blanks part its words.
 
-    A state is the last two letters; a run of one sign may give one or two letters.
+    A state is the last two letters (27 times the first, plus the second); a run of one sign may give one or two
+    letters. ``costs`` may be the flat list of the table, which reads faster than the array.
     """
-    letters = fold_codes(token)
+    flat = costs if isinstance(costs, list) else costs.ravel().tolist()
+    letters = [_FOLDED[code] if code < _FOLD_LIMIT else 0 for code in map(ord, token)]
     # What was read is a chain of (before, signs), so that a step costs the same however long the token is.
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    i = 0
-    while i < len(token):
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    size, i = len(token), 0
+    while i < size:
         sign = token[i]
-        run = 1
-        while i + run < len(token) and token[i + run] == sign and sign not in SEPARATORS:
-            run += 1
-        own = [(int(letters[i]), 0.0)] if letters[i] else []
-        own += [(ord(x) - 96, COST_LOOKALIKE) for x in LOOKALIKES.get(sign, "")]
-        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-
-        def step(state, cost, read):
-            if cost < after.get(state, (math.inf,))[0]:
-                after[state] = (cost, read)
-
-        for (a, b), (cost, read) in states.items():
+        run, parts = 1, sign in SEPARATORS
+        if not parts:
+            while i + run < size and token[i + run] == sign:
+                run += 1
+        if run == 1 and letters[i] and len(states) == 1 and sign not in LOOKALIKES:
+            # One letter after one reading: nothing to choose.
+            letter = letters[i]
+            [(state, (cost, read))] = states.items()
+            states = {27 * (state % 27) + letter: (cost + flat[27 * state + letter], (read, _LETTERS[letter]))}
+            i += 1
+            continue
+        own = [(letters[i], 0.0)] if letters[i] else []
+        if sign in LOOKALIKES:
+            own += [(ord(x) - 96, COST_LOOKALIKE) for x in LOOKALIKES[sign]]
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for state, (cost, read) in states.items():
+            b = state % 27
             for letter, extra in own:
-                once = cost + extra + float(costs[a, b, letter])
-                step((b, letter), once + COST_REPEAT * (run > 1), (read, chr(96 + letter)))
+                once = cost + extra + flat[27 * state + letter]
+                total, place = once + COST_REPEAT * (run > 1), 27 * b + letter
+                known = after.get(place)
+                if known is None or total < known[0]:
+                    after[place] = (total, (read, _LETTERS[letter]))
                 if run > 1:
-                    twice = once + extra + float(costs[b, letter, letter])
-                    step((letter, letter), twice + COST_REPEAT * (run > 2), (read, 2 * chr(96 + letter)))
-            if sign in SEPARATORS:
-                step((a, b), cost + COST_SEPARATOR, read)
+                    total, place = once + extra + flat[729 * b + 27 * letter + letter] + COST_REPEAT * (run > 2), 28 * letter
+                    known = after.get(place)
+                    if known is None or total < known[0]:
+                        after[place] = (total, (read, 2 * _LETTERS[letter]))
+            if parts:
+                total = cost + COST_SEPARATOR
+                known = after.get(state)
+                if known is None or total < known[0]:
+                    after[state] = (total, read)
             if not own:  # a sign that is no letter may be a border
-                step((b, 0) if b else (a, b), cost + (float(costs[a, b, 0]) if b else 0.0), (read, " ") if b else read)
+                total, place = cost + (flat[27 * state] if b else 0.0), 27 * b if b else state
+                known = after.get(place)
+                if known is None or total < known[0]:
+                    after[place] = (total, (read, " ") if b else read)
         states = after
         i += run
     # The word's end counts, so that a sign at the end is not forced to be a letter.
-    ends = [(cost + (float(costs[a, b, 0]) if b else 0.0), read) for (a, b), (cost, read) in states.items()]
+    ends = [(cost + (flat[27 * state] if state % 27 else 0.0), read) for state, (cost, read) in states.items()]
     least = min(cost for cost, _ in ends)
     return min(_chained(read) for cost, read in ends if cost == least).strip()
 
@@ -162,8 +185,10 @@ class Reader:
     """Plain words of texts; remembers what it has decoded."""
 
     def __init__(self, costs: np.ndarray):
-        self.costs = costs
+        self.costs = costs.ravel().tolist()
+        # Two generations: words met since the last change, and those met before it.
         self.known: dict[str, tuple[str, ...]] = {}
+        self.older: dict[str, tuple[str, ...]] = {}
 
     def _read(self, token: str) -> tuple[str, ...]:
         bare = token.strip(_STRIP)
@@ -171,15 +196,18 @@ class Reader:
             return (plain(bare),)
         parts = [plain(bare)] if len(bare) < 3 or not any(c.isalnum() for c in bare) else restore(bare, self.costs).split()
         # What stands beside a sign may also be a word by itself ("end.Begin").
-        return tuple({*parts, *(plain(w) for w in re.findall(r"[^\W\d_]+", bare))})
+        return tuple({*parts, *map(plain, _LETTER_RUNS.findall(bare))})
 
     def read(self, token: str) -> tuple[str, ...]:
         """Plain words of one token."""
         words = self.known.get(token)
         if words is None:
-            if len(self.known) > FORGET_WORDS:
-                self.known.clear()
-            words = self.known[token] = self._read(token)
+            if len(self.known) > FORGET_WORDS // 2:
+                self.known, self.older = {}, self.known
+            words = self.older.get(token)
+            if words is None:
+                words = self._read(token)
+            self.known[token] = words
         return words
 
     def runs(self, text: str) -> set[str]:
@@ -234,6 +262,7 @@ class ToxicityModel:
         self.reader: Reader | None = None
         self.starts = {f[:4] for f in self.shares if "*" in f}
         self.plain_tokens: set[str] = set()
+        self.older_tokens: set[str] = set()
         self.counted = {f.split("*")[0] for f in self.shares if f[-1:].isdigit() and "*" in f}
 
     def _weight(self, word: str) -> tuple[float, tuple[str, ...]]:
@@ -249,12 +278,15 @@ class ToxicityModel:
             self.reader = Reader(self.costs)
         if not text:
             return self.rest
-        if len(self.plain_tokens) > FORGET_TOKENS:
-            self.plain_tokens.clear()
+        if len(self.plain_tokens) > FORGET_TOKENS // 2:
+            self.plain_tokens, self.older_tokens = set(), self.plain_tokens
         text = text.lower()
         words = self.reader.runs(text)
         # Most tokens have no weight; those known are taken out at once.
-        for token in set(text.split()) - self.plain_tokens:
+        tokens = set(text.split()) - self.plain_tokens
+        known = tokens & self.older_tokens
+        self.plain_tokens |= known
+        for token in tokens - known:
             found = self.reader.read(token)
             if any(self._weight(w) != _NOTHING for w in found):
                 words.update(found)
@@ -272,7 +304,7 @@ class ToxicityModel:
         return min(1.0, max(0.0, -math.expm1(total)))
 
     def __getstate__(self):
-        return {**self.__dict__, "reader": None, "plain_tokens": set()}
+        return {**self.__dict__, "reader": None, "plain_tokens": set(), "older_tokens": set()}
 
 
 def held_out(doc_id: Column) -> Column:
