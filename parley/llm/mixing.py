@@ -108,10 +108,12 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: whole texts, one row per pass that takes the document.
 
-    The document that the budget cuts is taken in the last pass if at least half of it lies inside.
+    The document that the budget cuts is taken in the last pass if at least half of it lies inside, and also
+    if the source would have no document at all without it.
     """
     taken = mix(kept_aside(docs, "doc_id", "text", "source"), **options)
-    copies = F.col("epochs") + F.when((F.col("rest") > 0) & (2 * F.col("rest") >= F.col("size")), 1).otherwise(0)
+    only = (F.col("epochs") == 0) & (F.col("before") == 0)
+    copies = F.col("epochs") + F.when((F.col("rest") > 0) & ((2 * F.col("rest") >= F.col("size")) | only), 1).otherwise(0)
     # Texts without words cost nothing; they are kept once.
     copies = F.when(F.col("size") == 0, 1).otherwise(copies)
     return taken.select("_row", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("_row.*")

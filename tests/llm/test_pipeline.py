@@ -94,9 +94,12 @@ def key(row):
 
 
 def test_run_is_the_plain_version(spark, folder):
-    got = sorted(((r.doc_id, r.text, r.source, r.n_chars, tuple(r.ids)) for r in corpus_pipeline.run(spark, folder).collect()), key=key)
+    rows = corpus_pipeline.run(spark, folder).collect()
+    got = sorted(((r.doc_id, r.text, r.source, r.n_chars, tuple(r.ids)) for r in rows), key=key)
     expected = sorted(plain(spark, folder), key=key)
     assert got == expected
+    processor = pieces.load_processor(pieces.default_model())
+    assert all(r.decoded == processor.decode(list(r.ids)) for r in rows)
     kept = {r[0] for r in got}
     assert not kept & {120, 121, 122, 126}, "copies stay"
     assert {123, 124, 125} <= kept, "texts without words go"
