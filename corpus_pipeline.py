@@ -8,7 +8,7 @@ again as the next stage's ``docs``, so a lost executor costs a stage at most.
 2. Near duplicates: of each class the document with the smallest id stays.
 3. Secrets: their spans are replaced in ``text``; ``n_chars`` follows. All documents stay.
 4. Mixing: whole documents up to their source's target, repeated where it exceeds the source.
-5. Encoding: ``ids`` of every text, end id included.
+5. Encoding and decoding: ``ids`` of every text, end id included, and ``decoded``, the text that they give back.
 
 Documents with null or empty text are neither toxic nor duplicates nor do they hold
 secrets; they cost the mix nothing and stay once. Empty tables pass through all stages.
@@ -47,8 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their texts."""
-    return pieces.encode_documents(docs, pieces.default_model())
+    """Documents with the ids of their texts and the texts of these ids."""
+    model = pieces.default_model()
+    return pieces.encode_documents(docs, model).withColumn("decoded", pieces.decode_ids(F.col("ids"), model))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
