@@ -12,7 +12,7 @@ inside a passage do not depend on what stands around it; only at its two ends a
 piece may be shared with other text and stay. Where no such word comes within
 twice ``PIECE`` words, pieces of ``PIECE`` words are counted from the last border. Case and blanks do not matter.
 
-Hashes are counted before anything is joined; only occurrences of repeated
+The hashes of every text are computed once and stored. They are counted before anything is joined; only occurrences of repeated
 ones are kept, and of these a document gets the list of its own places. A
 common span is one row on the counted side, so the join splits its other side.
 
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -45,13 +44,21 @@ _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
 def borders(words: list[str], piece: int = PIECE) -> list[int]:
     """Numbers of words in front of the cuts of a long sentence, chosen by the words nearby."""
     reach = max(1, piece // 2)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.rstrip(".!?")) >> 1 for w in words), np.int64, len(words))
-    wide = np.concatenate([np.full(reach, 2**63 - 1), hashes, np.full(reach, 2**63 - 1)])
-    least = np.lib.stride_tricks.sliding_window_view(wide, reach).min(axis=1)
-    # Of equal neighbours the first is a border.
-    chosen = np.flatnonzero((hashes < least[: len(words)]) & (hashes <= least[reach + 1 :])) + 1
+    hashes = [xxhash.xxh64_intdigest(w.rstrip(".!?")) >> 1 for w in words]
+    chosen, count = [], len(words)
+    for i, h in enumerate(hashes):
+        # Most words fall to a near neighbour. Of equal neighbours the first is a border.
+        for other in hashes[i - 1 : i - reach - 1 : -1] if i > reach else hashes[:i]:
+            if other <= h:
+                break
+        else:
+            for other in hashes[i + 1 : i + reach + 1]:
+                if other < h:
+                    break
+            else:
+                chosen.append(i + 1)
     out = [0]
-    for cut in [*chosen.tolist(), len(words)]:
+    for cut in [*chosen, count]:
         while cut - out[-1] > 2 * piece:
             out.append(out[-1] + piece)
         if cut > out[-1]:
@@ -89,18 +96,21 @@ def span_hashes(parts: list[tuple[str, list[str]]], span: int = SPAN, min_words:
     return out
 
 
-def repeated_places(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
-    """``_id, _hash, _places``: for each (id, text) the spans that occur earlier elsewhere."""
+def document_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, piece: int = PIECE) -> DataFrame:
+    """``_id, _hash, n_sentences, spans`` of each row with a text: the spans' hashes by place, null where they do not count."""
 
-    @F.pandas_udf("array<long>")
-    def hashes(texts: pd.Series) -> pd.Series:
-        return pd.Series([span_hashes(sentences(t, piece), span, min_words) for t in texts], dtype=object)
+    @F.pandas_udf("n_sentences int, spans array<long>")
+    def hashes(texts: pd.Series) -> pd.DataFrame:
+        parts = [sentences(t, piece) for t in texts]
+        return pd.DataFrame({"n_sentences": [len(p) for p in parts], "spans": [span_hashes(p, span, min_words) for p in parts]})
 
-    occurrences = (
-        docs.filter(F.col("text").isNotNull())
-        .select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.posexplode(hashes("text")).alias("place", "span"))
-        .filter(F.col("span").isNotNull())
-    )
+    rows = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), hashes("text").alias("s"))
+    return rows.select("_id", "_hash", "s.*")
+
+
+def repeated_places(spans: DataFrame) -> DataFrame:
+    """``_id, _hash, _places``: for each (id, text) the spans that occur earlier elsewhere. ``spans`` is a stored table."""
+    occurrences = spans.select("_id", "_hash", F.posexplode("spans").alias("place", "span")).filter(F.col("span").isNotNull())
     repeated = occurrences.groupBy("span").agg(F.count("*").alias("n")).filter("n > 1").select("span")
     kept = stage(occurrences.join(repeated, "span", "left_semi"), "sentence-spans")
     first = kept.groupBy("span").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_hash", "place")).alias("first"))
@@ -117,24 +127,30 @@ def remove_repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
 
     @F.pandas_udf("text string, n_sentences int, n_removed int")
-    def cut(texts: pd.Series, places: pd.Series, copy: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, places: pd.Series, copy: pd.Series, size: pd.Series) -> pd.DataFrame:
         out = []
-        for text, at, nth in zip(texts, places, copy):
+        for text, at, nth, n in zip(texts, places, copy, size):
             if text is None:
                 out.append((None, 0, 0))
-                continue
-            parts = sentences(text, piece)
-            if nth > 1:
-                at = [i for i, h in enumerate(span_hashes(parts, span, min_words)) if h is not None]
-            gone = {j for i in (at if at is not None else ()) for j in range(i, i + span)}
-            out.append(("".join(s for j, (s, _) in enumerate(parts) if j not in gone), len(parts), len(gone)))
+            elif at is None and nth == 1:
+                out.append((text, n, 0))
+            else:
+                # Only texts that lose something are split again.
+                parts = sentences(text, piece)
+                if nth > 1:
+                    at = [i for i, h in enumerate(span_hashes(parts, span, min_words)) if h is not None]
+                gone = {j for i in at for j in range(i, i + span)}
+                out.append(("".join(s for j, (s, _) in enumerate(parts) if j not in gone), len(parts), len(gone)))
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed"])
 
-    found = repeated_places(docs, span, min_words, piece)
+    spans = stage(document_spans(docs, span, min_words, piece), "document-spans")
+    sizes = spans.groupBy("_id", "_hash").agg(F.max("n_sentences").alias("_size"))
+    both = [F.col(f"found.{c}").eqNullSafe(F.col(f"sizes.{c}")) for c in ("_id", "_hash")]
+    found = sizes.alias("sizes").join(repeated_places(spans).alias("found"), both, "left").select("sizes._id", "sizes._hash", "_size", "_places")
     keyed = docs.select(*names).withColumn("_hash", F.xxhash64("text"))
     joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_hash"] == found["_hash"]), "left").drop(found["_hash"]).drop("_id")
     nth = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0)))
-    done = joined.withColumn("_cut", cut("text", "_places", nth))
+    done = joined.withColumn("_cut", cut("text", "_places", nth, F.coalesce("_size", F.lit(0))))
     return done.select(*[F.col("_cut.text").alias("text") if c == "text" else F.col(c) for c in names], "_cut.n_sentences", "_cut.n_removed")
 
 
