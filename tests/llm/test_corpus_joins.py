@@ -116,6 +116,49 @@ def test_near_duplicate_groups_at_the_threshold(spark, monkeypatch, chunk):
     assert got == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("chunk", [1024, 40])
+def test_near_duplicates_below_the_threshold_make_no_pairs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(dartminhash, "CHUNK", chunk)
+    rng, rows, stage = random.Random(3), {}, dartminhash.stage
+    base, texts = words(rng, 304).split(), []
+    for _ in range(300):
+        w = list(base)
+        for at in rng.sample(range(304), 5):  # about 0.72 alike
+            w[at] = f"changed{rng.randrange(10**9)}"
+        texts.append(" ".join(w))
+
+    def counted(df, label):
+        out = stage(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(dartminhash, "stage", counted)
+    got = {r.doc_id: r.class_id for r in dartminhash.classed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(got) == 300 and max(rows.values()) <= dartminhash.BANDS * 300  # there are 44,850 pairs
+
+
+def test_links_of_a_block_are_a_forest_of_all_links():
+    texts = near_copies(random.Random(8))
+    sets, marks = [dartminhash.elements(t) for t in texts], np.array([np.frombuffer(m, np.uint8) for m in dartminhash.sign(texts)["marks"]])
+    third = np.arange(len(texts)) % 3 == 0
+
+    def classes(links):
+        root = list(range(len(texts)))
+        for i, j in links:
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        return root
+
+    for side, own in ((third, ~third), (np.zeros(len(texts), bool), np.ones(len(texts), bool))):
+        found = dartminhash.block_links(marks, texts, side, own)
+        wanted = [
+            (i, j) for j in range(len(texts)) for i in range(j)
+            if (side[i] != side[j] or own[i] and own[j]) and dartminhash.weighted_jaccard(sets[i], sets[j]) >= 0.8
+            and (marks[i] == marks[j]).mean() >= dartminhash.THRESHOLD - dartminhash.MARGIN
+        ]
+        assert classes(found) == classes(wanted) and set(found) <= set(wanted) and len(found) < len(texts)
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
