@@ -135,17 +135,25 @@ def restore(token: str, costs: np.ndarray | list[float]) -> str:
     size, i = len(token), 0
     while i < size:
         sign = token[i]
+        if letters[i] and len(states) == 1 and sign not in LOOKALIKES:
+            # Single letters after one reading: nothing to choose.
+            start = i
+            [(state, (cost, read))] = states.items()
+            while letters[i] and sign not in LOOKALIKES and (i + 1 == size or token[i + 1] != sign):
+                letter = letters[i]
+                cost += flat[27 * state + letter]
+                state = 27 * (state % 27) + letter
+                i += 1
+                if i == size:
+                    break
+                sign = token[i]
+            if i > start:
+                states = {state: (cost, (read, "".join([_LETTERS[x] for x in letters[start:i]])))}
+                continue
         run, parts = 1, sign in SEPARATORS
         if not parts:
             while i + run < size and token[i + run] == sign:
                 run += 1
-        if run == 1 and letters[i] and len(states) == 1 and sign not in LOOKALIKES:
-            # One letter after one reading: nothing to choose.
-            letter = letters[i]
-            [(state, (cost, read))] = states.items()
-            states = {27 * (state % 27) + letter: (cost + flat[27 * state + letter], (read, _LETTERS[letter]))}
-            i += 1
-            continue
         own = [(letters[i], 0.0)] if letters[i] else []
         if sign in LOOKALIKES:
             own += [(ord(x) - 96, COST_LOOKALIKE) for x in LOOKALIKES[sign]]
@@ -286,7 +294,13 @@ class ToxicityModel:
         tokens = set(text.split()) - self.plain_tokens
         known = tokens & self.older_tokens
         self.plain_tokens |= known
+        shares, starts = self.shares, self.starts
         for token in tokens - known:
+            bare = token.strip(_STRIP)
+            if bare.isalpha() and bare.isascii() and bare not in shares and bare[:4] not in starts and not _DOUBLE.search(bare):
+                # The word that the reader would give, without a weight.
+                self.plain_tokens.add(token)
+                continue
             found = self.reader.read(token)
             if any(self._weight(w) != _NOTHING for w in found):
                 words.update(found)

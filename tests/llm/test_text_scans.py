@@ -163,3 +163,15 @@ def test_held_out_accuracy(spark, toxic_model):
     rows = toxicity.score_documents(docs.filter(toxicity.held_out(docs["doc_id"])), toxic_model).select("toxic", "predicted").collect()
     hit = sum(r.toxic == r.predicted == 1 for r in rows)
     assert hit >= 0.85 * sum(r.toxic for r in rows) and hit >= 0.9 * sum(r.predicted for r in rows)
+
+
+def test_plain_words_without_a_weight_are_not_decoded(monkeypatch):
+    import numpy as np
+
+    model = toxicity.ToxicityModel(np.zeros((27, 27, 27), dtype=np.float32), {"hater": 0.9, "kill*": 0.5})
+    read, asked = toxicity.Reader.read, []
+    monkeypatch.setattr(toxicity.Reader, "read", lambda self, token: asked.append(token) or read(self, token))
+    assert model.score("Some plain words, (over) and out") == 0.0
+    assert asked == []
+    assert model.score("some hater killing.") == pytest.approx(1 - 0.1 * 0.5)
+    assert sorted(asked) == ["hater", "killing."]
