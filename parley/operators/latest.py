@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.staging import stage
+
 _ALONE = "__alone"
 
+#: Up to this many repeated keys are sent to every task.
+MANY_REPEATED = 1 << 18
+
 
 def comparable(value: Column, kind: T.DataType) -> Column:
     """A value that can be hashed and compared: a map as its sorted entries."""
@@ -63,3 +68,24 @@ def newest_per_key(
         .select(*keys, *[F.col("__row")[c].alias(c) for c in others])
         .select(*[c for c in df.columns if c != _ALONE])
     )
+
+
+def newest_of_repeated(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """The rows of :func:`newest_per_key`, for stored tables whose keys seldom repeat.
+
+    The keys alone are counted first. Rows whose key comes once, or is missing, stay where they are:
+    they are neither shuffled nor read in columns that nobody asks for. Where many keys repeat, all rows are reduced.
+    """
+    repeated = stage(
+        df.where(~any_key_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys),
+        "repeated-keys",
+    )
+    found = repeated.count()
+    if not found:
+        return df
+    if found > MANY_REPEATED:
+        return newest_per_key(df, keys, sequence)
+    keys = list(keys)
+    once = df.join(F.broadcast(repeated), keys, "left_anti")
+    newest = newest_per_key(df.join(F.broadcast(repeated), keys, "left_semi"), keys, sequence, "drop")
+    return once.unionByName(newest).select(*df.columns)

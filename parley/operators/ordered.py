@@ -103,8 +103,9 @@ def running_totals(
     )
 
     merged = rows.withColumn(_MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    # The slice comes first: sorting compares the first column's prefix before whole rows.
     upto = (
-        Window.partitionBy(*keys, _SLICE)
+        Window.partitionBy(_SLICE, *keys)
         .orderBy(_MARK, *_nulls_last(order_by))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.latest import newest_per_key
+from parley.operators.latest import newest_of_repeated
 from parley.sources.tables import versions
 
 BATCH = "batch_id"
@@ -82,7 +82,7 @@ class GroupStore:
         """
         days = [r[0] for r in touched.select(self.day).distinct().collect()]
         rows = self._source(upto).where(F.col(self.day).isin(days)).join(touched, self.group, "left_semi")
-        return newest_per_key(rows, self.row_key, [*self.sequence, BATCH]).select(*self.source.names)
+        return newest_of_repeated(rows, self.row_key, [*self.sequence, BATCH]).select(*self.source.names)
 
     def deliver(self, rows: DataFrame, compute: Callable[[DataFrame], DataFrame], number: int | None = None) -> int:
         """Store a delivery and recompute the groups it touches; returns its number.
@@ -120,6 +120,6 @@ class GroupStore:
         """Fold the deliveries up to one into a base, which later readers use instead."""
         if upto not in self.deliveries():
             raise ValueError(f"delivery {upto} is not committed")
-        source = newest_per_key(self._source(upto), self.row_key, [*self.sequence, BATCH])
+        source = newest_of_repeated(self._source(upto), self.row_key, [*self.sequence, BATCH])
         self._write(source.select(*self.source.names), "base-source", upto, "version")
         self._write(self.read(upto), "base-rows", upto, "version")

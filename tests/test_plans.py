@@ -167,3 +167,11 @@ def test_client_types_read_their_input_once(spark):
     out = gold.client_type_distribution(spark.read.parquet(path))
     assert _plan(out).count("FileScan") == 1
     assert {r.total_users for r in out.collect()} == {11}
+
+
+def test_short_runs_go_through_the_passes_in_one_shuffle(spark):
+    rows = gen.conversations(seed=11, count=50, max_size=90, utterances=True, sticky=True)
+    numbered = u.prepared_utterances(d.in_scope(gen.frame(spark, rows)))
+    merged = u.merge_passes(numbered)
+    plan = _plan(merged)
+    assert plan.count("Exchange hashpartitioning") == 1 and len(re.findall(r"[\s-]Window \[", plan)) == 2 * len(u.PASSES)

@@ -11,7 +11,7 @@ from parley.operators import dialogs as d
 from parley.plans import bot_reports
 from parley.schemas import STORED_EVENT
 from parley.sources.bucket_table import BucketTable
-from parley.staging import staging_path
+from parley.staging import stage, staging_path
 from parley.streaming import ingest
 
 SCHEMA = "k long, t int, v string"
@@ -191,3 +191,28 @@ def test_group_without_results_loses_its_rows(spark):
     assert _rows(store.read(), "g", "total") == [("b", 8)]
     store.deliver(spark.createDataFrame([], source), sums)
     assert _rows(store.read(), "g", "total") == [("b", 8)] and _rows(store.read(upto=0), "g", "total") == [("a", 5), ("b", 8)]
+
+
+def test_rows_delivered_once_are_not_shuffled(spark):
+    """Only keys are counted; the rows themselves are reduced where a key repeats."""
+    events = _stored(gen.frame(spark, gen.conversations(seed=8, count=30, max_size=10, utterances=False)))
+    store = bot_reports.dialog_store(spark, staging_path(spark, "late-once"))
+    bot_reports.deliver_dialogs(store, events)
+    touched = d.in_scope(events).select(*d.KEYS).distinct()
+    once = store.affected(touched, 0)
+    assert once.count() == d.in_scope(events).count()
+    assert "max_by" not in _plan(once) and "SortAggregate" not in _plan(once)
+    assert "text" not in re.search(r"ReadSchema: struct<([^>]*)>", _plan(once.select("name"))).group(1)
+
+
+@pytest.mark.parametrize("many", [0, 1 << 18])
+def test_newest_of_repeated_keeps_the_rows_of_newest_per_key(spark, monkeypatch, many):
+    from parley.operators import latest
+
+    monkeypatch.setattr(latest, "MANY_REPEATED", many)
+    rows = [(1, 1, "a"), (1, 2, "b"), (2, 5, "c"), (3, 1, "d"), (3, 1, "d"), (4, None, "e"), (4, 0, "f"), (None, 1, "x"), (None, 1, "x"), (None, 2, "y")]
+    for some in (rows, rows[2:3] + rows[7:], []):
+        df = stage(spark.createDataFrame(some, SCHEMA), "repeated-test")
+        out = latest.newest_of_repeated(df, ["k"], ["t"])
+        assert out.columns == df.columns
+        assert _rows(out, "k", "t", "v") == _rows(latest.newest_per_key(df, ["k"], ["t"]), "k", "t", "v")
