@@ -218,6 +218,42 @@ def test_repeated_bytes(spark, monkeypatch, contexts):
         assert got.get(nodes[i], (data, 0, 0)) == expected, i
 
 
+def test_runs_of_one_byte_are_one_row():
+    rows = prefix_free._ranks(b"-" * 5000, 400, 16, 128)
+    assert len(rows) < 150 and sum(1 + len(r["more"] or ()) for r in rows) > 4000
+    assert len({(r["rank"], r["whole"]) for r in rows}) == len(rows)
+
+
+def test_rows_of_a_common_passage_are_dealt_anew(spark, monkeypatch):
+    conf = {"shuffle.partitions": "64", "adaptive.coalescePartitions.enabled": "false", "adaptive.advisoryPartitionSizeInBytes": "1k", "autoBroadcastJoinThreshold": "-1",
+            "adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "adaptive.skewJoin.skewedPartitionFactor": "1.5", "files.maxPartitionBytes": "8k", "files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(f"spark.sql.{k}", None) for k in conf}
+    plans, staged = {}, prefix_free.stage
+
+    def watched(df, label):
+        if label in ("parse-ranks", "parse-marks"):
+            df.collect()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(prefix_free, "stage", watched)
+    rng = random.Random(12)
+    passage = words(rng, 110)
+    texts = [f"{words(rng, 60)} {passage} {words(rng, 60)}" for _ in range(600)]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(16)
+        assert prefix_free.without_repeats(docs).filter(F.col("n_removed") >= len(passage)).count() == 600
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(f"spark.sql.{k}") if v is None else spark.conf.set(f"spark.sql.{k}", v)
+    assert sorted(plans) == ["parse-marks", "parse-ranks"]
+    for label, plan in plans.items():
+        joins = [x for x in plan.partition("Initial Plan")[0].splitlines() if "SortMergeJoin" in x]
+        assert joins and all("skew=true" in x for x in joins), label
+
+
 def vectors(rng, n, width):
     x = rng.normal(size=(n, width))
     x[: n // 3] = x[0] + rng.normal(size=(n // 3, width)) * 0.01
